@@ -87,9 +87,9 @@ def components(edges: DataFrame, work: str) -> DataFrame:
     """Connected components by contraction: (v, root) for every vertex that is not a root.
 
     edges has two long columns a and b. Each round every vertex that has a smaller
-    neighbour is merged into the smallest one (with one pointer jump), edges between the
-    merged vertices remain. Links and labels stay in tables; the driver sees only whether
-    any edge is left.
+    neighbour is merged, by pointer jumping, into the vertex at the end of its chain of
+    smallest neighbours; edges between merged vertices remain. Links and labels stay in
+    tables; the driver sees only whether any are left.
     """
     spark = edges.sparkSession
     maps: list[DataFrame] = []
@@ -98,9 +98,7 @@ def components(edges: DataFrame, work: str) -> DataFrame:
         n = len(maps)
         both = left.select(F.col("b").alias("v"), F.col("a").alias("m")).union(left.select(F.col("a").alias("v"), F.col("b").alias("m")))
         hook = both.groupBy("v").agg(F.min("m").alias("m")).filter("m < v")
-        hook = stored(hook, f"{work}/hook{n}")
-        jump = hook.select(F.col("v").alias("m"), F.col("m").alias("mm"))
-        hook = stored(hook.join(jump, "m", "left").select("v", F.coalesce("mm", "m").alias("m")), f"{work}/map{n}")
+        hook = _chased(stored(hook, f"{work}/hook{n}"), f"{work}/map{n}")
         maps.append(hook)
         at_a, at_b = hook.select(F.col("v").alias("a"), F.col("m").alias("ma")), hook.select(F.col("v").alias("b"), F.col("m").alias("mb"))
         moved = left.join(at_a, "a", "left").join(at_b, "b", "left").select(F.coalesce("ma", "a").alias("a"), F.coalesce("mb", "b").alias("b"))
@@ -113,13 +111,16 @@ def components(edges: DataFrame, work: str) -> DataFrame:
         # no v of m is among the v of label: it was merged away before those rounds
         above = label.select(F.col("v").alias("m"), "root")
         label = m.join(above, "m", "left").select("v", F.coalesce("root", "m").alias("root")).union(label)
-    # a jump can point to a vertex that was merged in the same round: resolve until stable
-    label = stored(label, f"{work}/label0")
+    return label
+
+
+def _chased(hook: DataFrame, path: str) -> DataFrame:
+    """hook (v, m) with every m replaced by the last vertex of its chain: no m is a v."""
     step = 0
     while True:
-        up = label.select(F.col("v").alias("root"), F.col("root").alias("higher"))
-        joined = label.join(up, "root", "left")
-        if joined.filter("higher is not null").isEmpty():
-            return label
+        up = hook.select(F.col("v").alias("m"), F.col("m").alias("further"))
+        joined = hook.join(up, "m", "left")
+        if joined.filter("further is not null").isEmpty():
+            return hook
+        hook = stored(joined.select("v", F.coalesce("further", "m").alias("m")), f"{path}-{step}")
         step += 1
-        label = stored(joined.select("v", F.coalesce("higher", "root").alias("root")), f"{work}/label{step}")
