@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .langid import op8_language_id
+from .pieces import op6_sentencepiece
 from .quality import op10_quality_rules
 from .simhash import op7_simhash_near_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op6_sentencepiece": op6_sentencepiece,
         "op7_simhash_near_dedup": op7_simhash_near_dedup,
         "op8_language_id": op8_language_id,
         "op10_quality_rules": op10_quality_rules,
