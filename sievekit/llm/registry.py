@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .langid import op8_language_id
+from .mixing import OP9_SQL, op9_mixing
 from .pieces import op6_sentencepiece
 from .quality import op10_quality_rules
 from .simhash import op7_simhash_near_dedup
@@ -17,9 +18,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_sentencepiece": op6_sentencepiece,
         "op7_simhash_near_dedup": op7_simhash_near_dedup,
         "op8_language_id": op8_language_id,
+        "op9_mixing": op9_mixing,
         "op10_quality_rules": op10_quality_rules,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op9_mixing": OP9_SQL,
+    }
