@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .langid import op8_language_id
 from .mixing import OP9_SQL, op9_mixing
+from .pii import op5_pii_surrogates
 from .pieces import op6_sentencepiece
 from .quality import op10_quality_rules
 from .simhash import op7_simhash_near_dedup
@@ -15,6 +16,7 @@ from .simhash import op7_simhash_near_dedup
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op5_pii_surrogates": op5_pii_surrogates,
         "op6_sentencepiece": op6_sentencepiece,
         "op7_simhash_near_dedup": op7_simhash_near_dedup,
         "op8_language_id": op8_language_id,
