@@ -12,10 +12,14 @@ from .pii import op5_pii_surrogates
 from .pieces import op6_sentencepiece
 from .quality import op10_quality_rules
 from .simhash import op7_simhash_near_dedup
+from .tokenfiles import op2_token_files
+from .warc import op4_warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_token_files": op2_token_files,
+        "op4_warc": op4_warc,
         "op5_pii_surrogates": op5_pii_surrogates,
         "op6_sentencepiece": op6_sentencepiece,
         "op7_simhash_near_dedup": op7_simhash_near_dedup,
