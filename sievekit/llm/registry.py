@@ -13,11 +13,13 @@ from .pieces import op6_sentencepiece
 from .quality import op10_quality_rules
 from .simhash import op7_simhash_near_dedup
 from .tokenfiles import op2_token_files
+from .topk import OP1_SQL, op1_exact_top_k
 from .warc import op4_warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_exact_top_k": op1_exact_top_k,
         "op2_token_files": op2_token_files,
         "op4_warc": op4_warc,
         "op5_pii_surrogates": op5_pii_surrogates,
@@ -31,5 +33,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_exact_top_k": OP1_SQL,
         "op9_mixing": OP9_SQL,
     }
