@@ -7,6 +7,11 @@ blocks; close pairs meet under at least one key and are verified there. m follow
 number of fingerprints, so that few strangers meet under a key at any size; the result is
 the same for every m.
 
+That is exact for fingerprints of one word. Similarity of 0.8 on five-word shingles differs in
+too many bits for it, so drop_near_duplicates takes several words (functions of the same
+shingle hashes): close pairs then meet with high probability under a key of any word, and the
+distance is verified over all words.
+
 Only different fingerprints are joined, equal ones are one vertex. A key's fingerprints are
 linked by a spanning forest of their verified links, which has the same components as all
 links and never more rows than members. Keys with more than ``tile`` members are dealt in
@@ -16,7 +21,7 @@ tiles: every pair of tiles goes to a task of its own.
 from __future__ import annotations
 
 from itertools import accumulate, combinations
-from math import ceil, comb
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -46,44 +51,61 @@ def shingle_hashes(text: str | None, width: int) -> list[int]:
     return [digest(joined[a : b - 1], 42) for a, b in zip([0, *ends], ends[width - 1 :], strict=False)]
 
 
-def fingerprints(texts: list[str | None], width: int) -> np.ndarray:
-    """One uint64 per text; zero where there is no word."""
+def spread(h: np.ndarray, r: int) -> np.ndarray:
+    """The hash itself for r = 0, else a further hash that is a function of it."""
+    if r == 0:
+        return h
+    x = h + np.uint64((r * 0x9E3779B97F4A7C15) % 2**64)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def fingerprints(texts: list[str | None], width: int, words: int = 1) -> np.ndarray:
+    """uint64 of shape (texts, words); zero where there is no word."""
     hashes: list[int] = []
     counts = np.zeros(len(texts), np.int64)
     for i, t in enumerate(texts):
         h = shingle_hashes(t, width)
         counts[i] = len(h)
         hashes += h
-    out = np.zeros(len(texts), np.uint64)
-    if hashes:
-        flat = np.array(hashes, ">u8")
-        full = np.flatnonzero(counts)
+    out = np.zeros((len(texts), words), np.uint64)
+    if not hashes:
+        return out
+    flat = np.array(hashes, np.uint64)
+    full = np.flatnonzero(counts)
+    ends = np.cumsum(counts)
+    for r in range(words):
         ones = np.zeros((len(texts), 64), np.int64)
-        ends = np.cumsum(counts)
         # rows of 64 bits are summed by document, in runs that bound the memory
         step = 1 << 17
         for lo in range(0, len(flat), step):
             hi = min(len(flat), lo + step)
-            bits = np.unpackbits(flat[lo:hi].view(np.uint8).reshape(-1, 8), axis=1)
+            bits = np.unpackbits(spread(flat[lo:hi], r).astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
             docs = full[(ends[full] > lo) & (ends[full] - counts[full] < hi)]
             starts = np.maximum(ends[docs] - counts[docs], lo) - lo
-            ones[docs] += np.add.reduceat(bits, starts, axis=0, dtype=np.int64)
+            ones[docs] += np.add.reduceat(bits, starts, axis=0, dtype=np.int32)
         major = (2 * ones > counts[:, None]).astype(np.uint8)
-        out = np.packbits(major, axis=1).view(">u8").ravel().astype(np.uint64)
+        out[:, r] = np.packbits(major, axis=1).view(">u8").ravel()
     return out
 
 
-def fingerprint_table(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): fp as a signed long with the fingerprint's bits."""
+def fingerprint_table(docs: DataFrame, width: int, words: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, fp, w): w holds the words as signed longs; fp names them all.
+
+    With one word fp is that word, else a hash of all; w is then what distances are taken of.
+    """
     common.ship(docs.sparkSession)
 
     def run(batches):
         for batch, texts in common.slices(batches, "text", CHARS):
-            fp = fingerprints(texts, width).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp)], ["doc_id", "fp"])
+            found = fingerprints(texts, width, words).view(np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, found.size + 1, words, dtype=np.int32)), pa.array(found.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["doc_id", "w"])
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return source.mapInArrow(run, "doc_id long, fp long")
+    table = source.mapInArrow(run, "doc_id long, w array<long>")
+    return table.select("doc_id", (F.get("w", F.lit(0)) if words == 1 else F.xxhash64("w")).alias("fp"), "w")
 
 
 def block_masks(bits: int, n_blocks: int) -> list[int]:
@@ -105,59 +127,84 @@ def choose_blocks(n: int, bits: int) -> int:
     return 4 * bits + 1
 
 
-def forest(fps: np.ndarray, bits: int) -> list[tuple[int, int]]:
-    """Links of a spanning forest of the graph whose links are pairs within ``bits``."""
-    rest, out = fps.copy(), []
-    while len(rest):
-        todo, rest = [rest[0]], rest[1:]
-        while todo and len(rest):
-            x = todo.pop()
-            near = np.bitwise_count(rest ^ x) <= bits
+def forest(ids: np.ndarray, fps: np.ndarray, bits: int) -> list[tuple[int, int]]:
+    """Links of a spanning forest of the graph whose links are pairs within ``bits``.
+
+    ids (n,) are different, fps is (n, words) and unsigned.
+    """
+    out = []
+    while len(ids):
+        todo = [(ids[0], fps[0])]
+        ids, fps = ids[1:], fps[1:]
+        while todo and len(ids):
+            i, x = todo.pop()
+            near = np.bitwise_count(fps ^ x).sum(1, dtype=np.int32) <= bits
             if near.any():
-                new = rest[near]
-                out += [(int(x), int(y)) for y in new]
-                todo += list(new)
-                rest = rest[~near]
+                out += [(int(i), int(j)) for j in ids[near]]
+                todo += list(zip(ids[near], fps[near], strict=True))
+                ids, fps = ids[~near], fps[~near]
     return out
 
 
-def key_links(key: np.ndarray, fps: np.ndarray, bits: int) -> np.ndarray:
-    """Links among the rows of equal key; key is sorted, fps is uint64. Shape (n, 2)."""
+def key_links(key: np.ndarray, ids: np.ndarray, fps: np.ndarray, bits: int) -> np.ndarray:
+    """Links (n, 2) among the rows of equal key; key is sorted."""
     starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
     sizes = np.diff(np.r_[starts, len(key)])
-    found: list[np.ndarray] = []
+    found: list[np.ndarray] = [np.empty((0, 2), np.int64)]
     small = np.repeat(sizes <= 32, sizes)
-    k, f = key[small], fps[small]
+    k, n, f = key[small], ids[small], fps[small]
     for d in range(1, 32):
-        if len(k) <= d:
-            break
-        same = k[d:] == k[:-d]
-        if not same.any():
+        if len(k) <= d or not (same := k[d:] == k[:-d]).any():
             break
         at = np.flatnonzero(same)
-        at = at[np.bitwise_count(f[at] ^ f[at + d]) <= bits]
-        found.append(np.column_stack([f[at], f[at + d]]))
-    for s, n in zip(starts[sizes > 32], sizes[sizes > 32], strict=True):
-        if links := forest(np.unique(fps[s : s + n]), bits):
-            found.append(np.array(links, np.uint64))
-    return np.concatenate(found) if found else np.empty((0, 2), np.uint64)
-
-
-def links(nodes: DataFrame, bits: int, work: str, n_blocks: int | None = None, tile: int = TILE) -> DataFrame:
-    """Links (a, b) that connect the same fingerprints as all pairs within ``bits`` do.
-
-    nodes: distinct longs in column fp. Pairs are verified; a pair can come out under
-    several keys.
+        at = at[np.bitwise_count(f[at] ^ f[at + d]).sum(1, dtype=np.int32) <= bits]
+        found.append(np.column_stack([n[at], n[at + d]]))
+    for s, m in zip(starts[sizes > 32], sizes[sizes > 32], strict=True):
+        if links := forest(ids[s : s + m], fps[s : s + m], bits):
+            found.append(np.array(links, np.int64))
+    return np.concatenate(found)
+
+
+def _columns(batches) -> tuple[np.ndarray, ...] | None:
+    """The long columns of all batches; a list column becomes (n, words)."""
+    parts = []
+    for b in batches:
+        if b.num_rows:
+            parts.append([c.flatten().to_numpy().reshape(b.num_rows, -1) if pa.types.is_list(c.type) else c.to_numpy(zero_copy_only=False) for c in b.columns])
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True)) if parts else None
+
+
+def _shared_keys(batches):
+    """Rows (fp, c, v) whose (c, v) occurs twice or more."""
+    if (found := _columns(batches)) is None:
+        return
+    order = np.lexsort((found[2], found[1]))
+    fp, c, v = (x[order] for x in found)
+    same = (c[1:] == c[:-1]) & (v[1:] == v[:-1])
+    shared = np.r_[False, same] | np.r_[same, False]
+    yield pa.RecordBatch.from_arrays([pa.array(x[shared]) for x in (fp, c, v)], ["fp", "c", "v"])
+
+
+def links(nodes: DataFrame, bits: int, reach: int, work: str, n_blocks: int | None = None, tile: int = TILE) -> DataFrame:
+    """Verified links (a, b) between fps whose words differ in at most ``reach`` bits in all.
+
+    nodes: fp, different, and w. Pairs within ``bits`` in any word always meet; those linked
+    have the same components as all links among pairs that meet under a key. A pair can
+    come out under several keys.
     """
     spark = nodes.sparkSession
-    masks = block_masks(bits, n_blocks or choose_blocks(nodes.count(), bits))
-    one = [F.struct(F.lit(i).alias("c"), F.col("fp").bitwiseAND(F.lit(m)).alias("v")) for i, m in enumerate(masks)]
-    keyed = nodes.select("fp", F.explode(F.array(*one)).alias("k")).select("fp", "k.c", "k.v")
-    hot = stored_hot = keyed.groupBy("c", "v").count().filter(F.col("count") > tile)
-    stored_hot = common.stored(hot, f"{work}/hot")
-    n_hot = stored_hot.count()
+    common.ship(spark)
+    count, first = nodes.count(), nodes.select(F.size("w")).first()
+    words = first[0] if first else 1
+    masks = block_masks(bits, n_blocks or max(choose_blocks(count, bits), bits + 2 if words > 1 else 0))
+    keys = [F.struct(F.lit(r * len(masks) + i).alias("c"), F.get("w", F.lit(r)).bitwiseAND(F.lit(m)).alias("v")) for r in range(words) for i, m in enumerate(masks)]
+    keyed = nodes.select("fp", F.explode(F.array(*keys)).alias("k")).select("fp", "k.c", "k.v")
+    # most keys have one member; only the others are joined with what is verified
+    keyed = common.stored(keyed.repartition("c", "v").mapInArrow(_shared_keys, "fp long, c int, v long"), f"{work}/keys")
+    hot = common.stored(keyed.groupBy("c", "v").count().filter(F.col("count") > tile), f"{work}/hot")
+    n_hot = hot.count()
     if n_hot:
-        tiles = stored_hot.select("c", "v", F.ceil(F.col("count") / tile).cast("int").alias("tiles"))
+        tiles = hot.select("c", "v", F.ceil(F.col("count") / tile).cast("int").alias("tiles"))
         tiles = F.broadcast(tiles) if n_hot <= 50_000 else tiles
         keyed = keyed.join(tiles, ["c", "v"], "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
         own = F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int")
@@ -165,25 +212,27 @@ def links(nodes: DataFrame, bits: int, work: str, n_blocks: int | None = None, t
         keyed = keyed.select("fp", "c", "v", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
     else:
         keyed = keyed.select("fp", "c", "v", F.lit(0).alias("lo"), F.lit(0).alias("hi"))
-    common.ship(spark)
+    keyed = keyed.join(nodes.select("fp", "w"), "fp").select("fp", "c", "v", "lo", "hi", "w")
 
     def run(batches):
-        parts = [[c.to_numpy(zero_copy_only=False) for c in b.columns] for b in batches]
-        if not parts:
+        if (found := _columns(batches)) is None:
             return
-        fp, c, v, lo, hi = (np.concatenate(x) for x in zip(*parts, strict=True))
-        order = np.lexsort((v, c, lo, hi))
-        fp, c, v, lo, hi = fp[order], c[order], v[order], lo[order], hi[order]
+        order = np.lexsort(found[1:5])
+        fp, c, v, lo, hi, w = (x[order] for x in found)
         new = np.r_[True, (c[1:] != c[:-1]) | (v[1:] != v[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])]
-        pairs = key_links(np.cumsum(new), fp.view(np.uint64), bits).view(np.int64)
+        pairs = key_links(np.cumsum(new), fp, w.view(np.uint64), reach)
         yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
     return keyed.repartition("c", "v", "lo", "hi").mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, bits: int = 4, n_blocks: int | None = None, tile: int = TILE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 5, bits: int = 4, words: int = 1, reach: int | None = None, n_blocks: int | None = None, tile: int = TILE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each document's fingerprint and near-duplicate class: (doc_id, fp, component_id).
 
+    With one word two texts are linked if their fingerprints differ in at most ``bits``
+    bits. With more, if all words together differ in at most ``reach`` bits and they meet
+    under a key of any word (see links).
+
     Null and empty texts, and texts without a word, have fingerprint 0 and are linked like
     any other. component_id is the smallest doc_id reachable over links (null only if every
     doc_id of the class is null). Repeated rows each come out; an empty table gives an empty
@@ -191,9 +240,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, bits: int = 4, n_blocks: in
     """
     spark = docs.sparkSession
     work = common.shared_dir(spark)
-    table = common.stored(fingerprint_table(docs, width, id_col, text_col), f"{work}/fp")
-    nodes = common.stored(table.groupBy("fp").agg(F.min("doc_id").alias("first")), f"{work}/nodes")
-    label = common.components(links(nodes.select("fp"), bits, work, n_blocks, tile), work)
+    table = common.stored(fingerprint_table(docs, width, words, id_col, text_col), f"{work}/fp")
+    nodes = common.stored(table.groupBy("fp").agg(F.min("doc_id").alias("first"), F.first("w").alias("w")), f"{work}/nodes")
+    label = common.components(links(nodes, bits, bits if reach is None else reach, work, n_blocks, tile), work)
     label = nodes.join(label.select(F.col("v").alias("fp"), "root"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     label = common.stored(label, f"{work}/roots")
     classes = label.groupBy("root").agg(F.min("first").alias("component_id"))
@@ -201,13 +250,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, bits: int = 4, n_blocks: in
     return table.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, width: int = 5, bits: int = 4) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, width: int = 5, words: int = 8, reach: int = 92) -> DataFrame:
     """Keep of each class the document with the smallest doc_id, all columns as they are.
 
+    The defaults stand for a similarity of 0.8 of the sets of five-word shingles: the words'
+    512 bits then differ in 78 on average, with a deviation of 8.
     Rows without doc_id are no one's duplicate and stay. Of rows that repeat the kept
     doc_id one stays.
     """
-    found = near_duplicates(docs.select("doc_id", "text"), width, bits)
+    found = near_duplicates(docs.select("doc_id", "text"), width, words=words, reach=reach)
     work = common.shared_dir(docs.sparkSession)
     found = common.stored(found.filter("doc_id is not null"), f"{work}/classes")
     away = found.filter("doc_id <> component_id").select("doc_id").distinct()
