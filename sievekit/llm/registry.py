@@ -11,6 +11,7 @@ from .mixing import OP9_SQL, op9_mixing
 from .pii import op5_pii_surrogates
 from .pieces import op6_sentencepiece
 from .quality import op10_quality_rules
+from .repeats import op3_suffix_array_dedup
 from .simhash import op7_simhash_near_dedup
 from .tokenfiles import op2_token_files
 from .topk import OP1_SQL, op1_exact_top_k
@@ -21,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_top_k": op1_exact_top_k,
         "op2_token_files": op2_token_files,
+        "op3_suffix_array_dedup": op3_suffix_array_dedup,
         "op4_warc": op4_warc,
         "op5_pii_surrogates": op5_pii_surrogates,
         "op6_sentencepiece": op6_sentencepiece,
