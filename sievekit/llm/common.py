@@ -6,8 +6,10 @@ import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import repeat
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,6 +85,59 @@ def slices(batches: Iterator, text: str, limit: int) -> Iterator[tuple]:
             yield batch.slice(start), texts[start:]
 
 
+class WordStore:
+    """Ids of words, encoded when first seen and kept while they recur.
+
+    encode gets different words and returns (ids of all, number of ids of each). At most
+    about ``limit`` words stay; when they are too many, those used once go.
+    """
+
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int):
+        self.encode, self.limit = encode, limit
+        self.slots: dict[str, int] = {}
+        self.pool = np.zeros(0, np.int32)
+        self.start, self.length, self.uses = (np.zeros(0, np.int64) for _ in range(3))
+
+    def _thin(self) -> None:
+        stay = np.flatnonzero(self.uses >= 2)
+        if len(stay) > self.limit // 2:
+            stay = stay[:0]
+        place = np.full(len(self.start), -1, np.int64)
+        place[stay] = np.arange(len(stay))
+        kept = place.tolist()
+        self.slots = {w: kept[i] for w, i in self.slots.items() if kept[i] >= 0}
+        self.pool, _ = gathered(self.pool, self.start[stay], self.length[stay])
+        self.length = self.length[stay]
+        self.start, self.uses = np.cumsum(self.length) - self.length, np.zeros(len(stay), np.int64)
+
+    def ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words, number of ids of each)."""
+        slot = np.fromiter(map(self.slots.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(slot < 0)
+        if len(missing):
+            absent = [words[i] for i in missing.tolist()]
+            new = list(dict.fromkeys(absent))
+            if len(self.slots) and len(self.slots) + len(new) > self.limit:
+                self._thin()
+                return self.ids(words)
+            ids, length = self.encode(new)
+            n = len(self.start)
+            self.slots.update(zip(new, range(n, n + len(new)), strict=True))
+            self.start = np.r_[self.start, len(self.pool) + np.cumsum(length) - length]
+            self.length, self.uses = np.r_[self.length, length], np.r_[self.uses, np.zeros(len(new), np.int64)]
+            self.pool = np.r_[self.pool, ids.astype(np.int32)]
+            slot[missing] = np.fromiter(map(self.slots.__getitem__, absent), np.int64, len(absent))
+        self.uses += np.bincount(slot, minlength=len(self.uses))
+        return gathered(self.pool, self.start[slot], self.length[slot])
+
+
+def gathered(pool: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of pool that begin at start, one after the other, and their lengths."""
+    ends = np.cumsum(length)
+    total = int(ends[-1]) if len(ends) else 0
+    return pool[np.repeat(start - (ends - length), length) + np.arange(total)], length
+
+
 def components(edges: DataFrame, work: str) -> DataFrame:
     """Connected components by contraction: (v, root) for every vertex that is not a root.
 

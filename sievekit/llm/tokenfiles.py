@@ -33,7 +33,7 @@ from . import common
 FRAME_IDS = 1 << 20
 #: Characters of text per round, and words whose ids a worker keeps.
 CHARS = 1_000_000
-KEPT_WORDS = 400_000
+KEPT_WORDS = 800_000
 LEVEL = 3
 END_ID = 2
 
@@ -46,6 +46,7 @@ CHECKSUM_FLAG = 0x80
 #: A byte-level tokenizer's pre-tokens never cross from a non-blank to a blank character.
 _BLANK = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _CHUNK = re.compile(rf"[{_BLANK}]*[^{_BLANK}]+|[{_BLANK}]+")
+_BLANKS = frozenset(c for c in map(chr, range(0x3001)) if re.match(rf"[{_BLANK}]", c))
 
 
 class Encoder:
@@ -63,12 +64,38 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.slots: dict[str, int] = {}
-        self._reset()
-
-    def _reset(self) -> None:
-        self.slots.clear()
-        self.pool, self.start, self.length = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        # a byte-level token has a character for each of its bytes
+        self.width = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
+        for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            self.width[i] = len(token)
+        self.words = common.WordStore(self._encode_words, KEPT_WORDS)
+
+    def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Different words in one text: they are cut apart again by their bytes.
+
+        A word without a blank in front is set off by a line feed, which is a token of its
+        own there; a word of blanks alone would run into the next one and is encoded alone.
+        """
+        alone = [i for i, w in enumerate(words) if w.isspace()]
+        together = np.delete(np.arange(len(words)), alone)
+        plain = [words[i] for i in together.tolist()] if alone else words
+        parts = [w if w[0] in _BLANKS else "\n" + w for w in plain]
+        ids = np.array(self.tokenizer.encode_batch_fast(["".join(parts)], add_special_tokens=False)[0].ids, np.int32)
+        reached = np.cumsum(self.width[ids])
+        wanted = np.cumsum(np.fromiter(map(len, map(str.encode, parts)), np.int64, len(parts)))
+        ends = np.searchsorted(reached, wanted) + 1
+        if len(ends) and not np.array_equal(reached[ends - 1], wanted):
+            raise ValueError("a token crosses words")
+        length = np.diff(np.r_[0, ends]).astype(np.int64)
+        added = np.fromiter(map(len, parts), np.int64, len(parts)) - np.fromiter(map(len, plain), np.int64, len(plain))
+        first, length = ends - length + added, length - added
+        pool, start, count = ids, np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        start[together], count[together] = first, length
+        for i in alone:
+            own = np.array(self.tokenizer.encode(words[i], add_special_tokens=False).ids, np.int32)
+            start[i], count[i] = len(pool), len(own)
+            pool = np.r_[pool, own]
+        return common.gathered(pool, start, count)
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids of each)."""
@@ -78,24 +105,8 @@ class Encoder:
             found = _CHUNK.findall(t) if t else []
             counts.append(len(found))
             words += found
-        new = list(set(words) - self.slots.keys())
-        if len(self.slots) + len(new) > KEPT_WORDS and self.slots:
-            self._reset()
-            new = list(set(words))
-        if new:
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-            length = np.fromiter(map(len, ids), np.int64, len(ids))
-            base = len(self.pool)
-            self.slots.update(zip(new, range(len(self.start), len(self.start) + len(new)), strict=True))
-            self.start = np.r_[self.start, base + np.cumsum(length) - length]
-            self.length = np.r_[self.length, length]
-            self.pool = np.r_[self.pool, np.fromiter((x for i in ids for x in i), np.uint32, int(length.sum()))]
-        slot = np.fromiter(map(self.slots.__getitem__, words), np.int64, len(words))
-        length = self.length[slot]
-        ends = np.cumsum(length)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.pool[np.repeat(self.start[slot] - (ends - length), length) + np.arange(total)]
-        ends = np.r_[0, ends]
+        ids, length = self.words.ids(words)
+        ends = np.r_[0, np.cumsum(length)]
         stops = np.cumsum([0, *counts])
         return ids, ends[stops[1:]] - ends[stops[:-1]]
 
