@@ -29,8 +29,8 @@ from . import common
 
 #: Characters of text per numpy round.
 CHARS = 1_000_000
-#: Words whose ids a worker keeps, at most; beyond it the store starts anew.
-KEPT_WORDS = 200_000
+#: Words whose ids a worker keeps, at most.
+KEPT_WORDS = 800_000
 BLANK = "▁"
 _NONE = np.iinfo(np.int32).max
 
@@ -89,12 +89,7 @@ class Pieces:
         run = [len(text[i]) for i in self._ids([" " * (4 * longest + 3)])[0]]
         if run[:2] == [longest] * 2 and longest > 1:
             self.pattern = re.compile(rf"[ {BLANK}]{{{longest}}}(?=[ {BLANK}]{{{2 * longest}}})|{word}")
-        self.slots: dict[str, int] = {}
-        self._reset()
-
-    def _reset(self) -> None:
-        self.slots.clear()
-        self.pool, self.start, self.length = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.words = common.WordStore(self._ids, KEPT_WORDS)
 
     def _pair(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(rank, merged id) of pairs of ids; _NONE where there is no such merge."""
@@ -137,25 +132,34 @@ class Pieces:
             keep[hit + 1] = False
             now = hit - np.arange(len(hit))
             symbol, word, place, rank, to = (x[keep] for x in (symbol, word, place, rank, to))
-            stale = np.unique(np.r_[now, np.maximum(now - 1, 0)])
+            changed = np.zeros(len(symbol), bool)
+            changed[now] = True
+            changed[np.maximum(now - 1, 0)] = True
+            stale = np.flatnonzero(changed)
         return done
 
-    def _ids(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of each word, as written after its blanks became BLANK."""
+    def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words, number of ids of each)."""
         points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4")
         points = np.where(points == 32, np.uint32(ord(BLANK)), points)
         word = np.repeat(np.arange(len(words), dtype=np.int32), [len(w) for w in words])
         done = self.merge_rounds(self.char[points], word, np.arange(len(points), dtype=np.int64))
         if not done:
-            return [np.zeros(0, np.int32) for _ in words]
+            return np.zeros(0, np.int32), np.zeros(len(words), np.int64)
         word, place, ids = (np.concatenate(x) for x in zip(*done, strict=True))
         order = np.argsort(place, kind="stable")
         word, place, ids = word[order], place[order], ids[order]
-        if (ids < 0).any():  # characters that are no piece become bytes
-            parts = [np.array([i], np.int32) if i >= 0 else self.bytes[list(chr(points[p]).encode("utf-8", "surrogatepass"))] for i, p in zip(ids, place, strict=True)]
-            word = np.repeat(word, [len(p) for p in parts])
-            ids = np.concatenate(parts)
-        return np.split(ids, np.searchsorted(word, np.arange(1, len(words))))
+        raw = ids < 0
+        if raw.any():  # characters that are no piece become bytes
+            points, which = np.unique(points[place[raw]], return_inverse=True)
+            coded = [self.bytes[list(chr(c).encode("utf-8", "surrogatepass"))] for c in points.tolist()]
+            size = np.array([len(c) for c in coded], np.int64)
+            flat, length = common.gathered(np.concatenate(coded), (np.cumsum(size) - size)[which], size[which])
+            count = np.ones(len(ids), np.int64)
+            count[raw] = length
+            word, ids, raw = np.repeat(word, count), np.repeat(ids, count), np.repeat(raw, count)
+            ids[raw] = flat
+        return ids, np.bincount(word, minlength=len(words))
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids of each)."""
@@ -165,20 +169,7 @@ class Pieces:
             found = self.pattern.findall(" " + t) if t else []
             counts.append(len(found))
             words += found
-        new = list(set(words) - self.slots.keys())
-        if len(self.slots) + len(new) > KEPT_WORDS and self.slots:
-            self._reset()
-            new = list(set(words))
-        if new:
-            ids = self._ids(new)
-            length = np.array([len(x) for x in ids], np.int64)
-            base = len(self.pool)
-            self.slots.update(zip(new, range(len(self.start), len(self.start) + len(new)), strict=True))
-            self.start = np.r_[self.start, base + np.cumsum(length) - length]
-            self.length = np.r_[self.length, length]
-            self.pool = np.concatenate([self.pool, *ids])
-        slot = np.fromiter(map(self.slots.__getitem__, words), np.int64, len(words))
-        ids, length = gathered(self.pool, self.start[slot], self.length[slot])
+        ids, length = self.words.ids(words)
         ends = np.r_[0, np.cumsum(length)]
         stops = np.cumsum([0, *counts])
         return ids, ends[stops[1:]] - ends[stops[:-1]]
@@ -188,7 +179,7 @@ class Pieces:
 
         Bytes that are no UTF-8 become U+FFFD, one each.
         """
-        flat, width = gathered(self.raw, self.at[ids], self.width[ids])
+        flat, width = common.gathered(self.raw, self.at[ids], self.width[ids])
         ends = np.r_[0, np.cumsum(width)]
         stops = np.r_[0, np.cumsum(counts)]
         data, out = flat.tobytes(), []
@@ -221,13 +212,6 @@ def _lenient(data: bytes) -> str:
     return "".join(out)
 
 
-def gathered(pool: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The runs of pool that begin at start, one after the other, and their lengths."""
-    ends = np.cumsum(length)
-    total = int(ends[-1]) if len(ends) else 0
-    return pool[np.repeat(start - (ends - length), length) + np.arange(total)], length
-
-
 @lru_cache(maxsize=2)
 def load(path: str) -> Pieces:
     return Pieces(path)
