@@ -59,7 +59,7 @@ def poisson(u: Column, mean: Column) -> Column:
     Terms past the last step have less probability than u's resolution, so that the bound
     on the steps cuts nothing off.
     """
-    steps = F.sequence(F.lit(1), F.lit(int(PART + 14 * PART**0.5 + 30)))
+    steps = F.sequence(F.lit(1), F.ceil(mean + 14 * F.sqrt(mean) + 20).cast("int"))
     start = F.struct(F.lit(0).alias("k"), F.exp(-mean).alias("p"), F.exp(-mean).alias("cdf"))
 
     def step(s: Column, i: Column) -> Column:
@@ -84,13 +84,15 @@ def mix(docs: DataFrame, rate_table: DataFrame, seed: str = SEED) -> DataFrame:
     small = table.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
     table = F.broadcast(table) if small else table
     joined = docs.select(*names).join(table, F.col("source").eqNullSafe(F.col("__source")), "left")
-    identity = (F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.md5(F.coalesce("text", F.lit(""))))
+    identity = F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.md5(F.coalesce("text", F.lit(""))))
     rate = F.coalesce("__rate", F.lit(0.0))
     parts = F.greatest(F.lit(1), F.ceil(rate / PART).cast("int"))
-    drawn = F.aggregate(F.sequence(F.lit(1), parts), F.lit(0), lambda n, i: n + poisson(uniform(*identity, i.cast("string")), rate / parts))
-    counted = joined.withColumn("__n", F.when(rate > 0, drawn).otherwise(0)).filter("__n > 0")
-    copies = counted.select(*names, F.explode(F.sequence(F.lit(1), F.col("__n"))).alias("copy"))
-    keyed = copies.withColumn("shuffle_key", F.md5(F.concat_ws("|", F.lit("order"), *identity, F.col("copy").cast("string"))))
+    # each column is computed once, before the steps of the inversion read it many times
+    joined = joined.withColumn("__key", identity).withColumns({"__mean": rate / parts, "__u": F.transform(F.sequence(F.lit(1), parts), lambda i: uniform(F.col("__key"), i.cast("string")))})
+    drawn = F.aggregate("__u", F.lit(0), lambda n, u: n + poisson(u, F.col("__mean")))
+    counted = joined.withColumn("__n", F.when(F.col("__mean") > 0, drawn).otherwise(0)).filter("__n > 0")
+    copies = counted.select(*names, "__key", F.explode(F.sequence(F.lit(1), F.col("__n"))).alias("copy"))
+    keyed = copies.withColumn("shuffle_key", F.md5(F.concat_ws("|", F.lit("order"), "__key", F.col("copy").cast("string")))).drop("__key")
     # keys are uniform: cutting their range evenly needs no sampling pass over the texts
     return shuffled(keyed, spark)
 
