@@ -473,9 +473,9 @@ def prefer_source(spark, sf_dir):
 
 @query(
     """
-WITH e AS (SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS pos, event_type <> 'error' AS ok FROM events), c AS (SELECT *, floor(pos / 64) AS batch FROM e WHERE pos < 700),
+WITH e AS (SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS pos, event_type <> 'error' AS ok FROM events), c AS (SELECT *, CAST((pos - pos % 64) / 64 AS BIGINT) AS batch FROM e WHERE pos < 700),
 s AS (SELECT batch, sum(CAST(ok AS INT)) AS n FROM c GROUP BY batch), b AS (SELECT batch, coalesce(sum(n) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM s)
-SELECT event_id, CAST(batch AS BIGINT) AS batch FROM c JOIN b USING (batch) WHERE ok AND before < 260"""
+SELECT event_id, batch FROM c JOIN b USING (batch) WHERE ok AND before < 260"""
 )
 def early_stop(spark, sf_dir):
     rows = table(spark, sf_dir, "events").select("event_id", "event_type", (F.row_number().over(Window.orderBy("event_id")) - 1).alias("pos"))
