@@ -473,7 +473,7 @@ def prefer_source(spark, sf_dir):
 
 @query(
     """
-WITH e AS (SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS pos, event_type <> 'error' AS ok FROM events), c AS (SELECT *, CAST((pos - pos % 64) / 64 AS BIGINT) AS batch FROM e WHERE pos < 700),
+WITH e AS MATERIALIZED (SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS pos, event_type <> 'error' AS ok FROM events), c AS MATERIALIZED (SELECT *, CAST((pos - pos % 64) / 64 AS BIGINT) AS batch FROM e WHERE pos < 700),
 s AS (SELECT batch, sum(CAST(ok AS INT)) AS n FROM c GROUP BY batch), b AS (SELECT batch, coalesce(sum(n) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM s)
 SELECT event_id, batch FROM c JOIN b USING (batch) WHERE ok AND before < 260"""
 )
@@ -484,7 +484,7 @@ def early_stop(spark, sf_dir):
 
 @query(
     """
-WITH RECURSIVE e AS (SELECT row_number() OVER (ORDER BY event_id) - 1 AS pos, event_type = 'error' AND value > 12 AS ok FROM events),
+WITH RECURSIVE e AS MATERIALIZED (SELECT row_number() OVER (ORDER BY event_id) - 1 AS pos, event_type = 'error' AND value > 12 AS ok FROM events),
 s AS (SELECT CAST(floor(pos / 100) AS BIGINT) AS batch, sum(CAST(ok AS INT)) AS n FROM e GROUP BY 1),
 scan AS (SELECT CAST(-1 AS BIGINT) AS batch, 0::HUGEINT AS n, 0 AS streak, 0::HUGEINT AS total UNION ALL
   SELECT s.batch, s.n, CASE WHEN s.n < 12 AND s.batch * 100 >= 200 THEN scan.streak + 1 ELSE 0 END, scan.total + s.n FROM scan JOIN s ON s.batch = scan.batch + 1 WHERE scan.streak < 3 AND scan.total < 500)
