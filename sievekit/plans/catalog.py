@@ -473,7 +473,8 @@ def prefer_source(spark, sf_dir):
 
 @query(
     """
-WITH e AS MATERIALIZED (SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS pos, event_type <> 'error' AS ok FROM events), c AS MATERIALIZED (SELECT *, CAST((pos - pos % 64) / 64 AS BIGINT) AS batch FROM e WHERE pos < 700),
+WITH e AS MATERIALIZED (SELECT event_id, row_number() OVER (ORDER BY event_id) AS n, event_type <> 'error' AS ok FROM events),
+c AS MATERIALIZED (SELECT *, CAST((n - 1 - (n - 1) % 64) / 64 AS BIGINT) AS batch FROM e WHERE n <= 700),
 s AS (SELECT batch, sum(CAST(ok AS INT)) AS n FROM c GROUP BY batch), b AS (SELECT batch, coalesce(sum(n) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM s)
 SELECT event_id, batch FROM c JOIN b USING (batch) WHERE ok AND before < 260"""
 )
