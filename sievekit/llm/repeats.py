@@ -339,13 +339,16 @@ def find_anchors(rows: DataFrame, n: int) -> DataFrame:
             begin, end = np.maximum(place - (LENGTH - GRAM), begins[doc]), np.minimum(place + LENGTH, ends[doc])
             context = context_hashes(text, begin, end, place - begin)
             own = key[order][doc]
-            # text is in the documents' order: the first of equal contexts has the least place
-            sort = np.lexsort((place, context, gram))
-            again = np.r_[False, (gram[sort][1:] == gram[sort][:-1]) & (context[sort][1:] == context[sort][:-1])]
-            # rows of one key are one document
-            first, again = sort[~again], sort[again]
+            inner = place - begins[doc]
+            sort = np.lexsort((inner, own, context, gram))
+            same = np.zeros(len(sort), bool)
+            same[1:] = (gram[sort][1:] == gram[sort][:-1]) & (context[sort][1:] == context[sort][:-1])
+            # rows of one key are one document: their occurrences are the same
+            twin = same.copy()
+            twin[1:] &= (own[sort][1:] == own[sort][:-1]) & (inner[sort][1:] == inner[sort][:-1])
+            first, again = sort[~same], sort[same & ~twin]
             out = []
-            columns = [gram, context, own, place - begins[doc], begin - begins[doc], end - begins[doc]]
+            columns = [gram, context, own, inner, begin - begins[doc], end - begins[doc]]
             for shard, blob in dealt((gram[first] % np.uint64(n)).astype(np.int64), [c[first] for c in columns]):
                 out.append((shard, False, blob))
             if len(again):
