@@ -276,7 +276,9 @@ class WarcReader(DataSourceReader):
     def passes(self, found: dict[str, str | None]) -> bool:
         return all(found[c] in v and found[c] is not None if kind == "in" else (found[c] is None) == v for c, kind, v in self.tests)
 
-    def read(self, partition: FilePart):
+    def read(self, partition: FilePart | None):
+        if partition is None:  # what Spark passes where there is no partition
+            return
         fs, path = common.filesystem(partition.path)
         schema = pa.schema([("record_id", pa.string()), ("warc_type", pa.string()), ("target_uri", pa.string()), ("payload_digest", pa.string()), ("refers_to", pa.string()), ("payload_bytes", pa.int64()), ("payload", pa.binary())])
         rows, size = [], 0
