@@ -166,8 +166,14 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, max_languages: in
     if not names:
         return Model([], np.zeros((BUCKETS, 0)))
     number = {x: i for i, x in enumerate(names)}
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = rows.filter(F.col("lang").isin(names)).select("doc_id", "lang").withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_language)
+    # hashes below a bound that about four times as many rows meet: few rows meet in a task
+    mark, whole = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)), 1 << 30
+    bound = F.lit(0)
+    for r in top:
+        bound = F.when(F.col("lang") == r["lang"], min(whole, -(-4 * per_language * whole // r["count"]))).otherwise(bound)
+    order = Window.partitionBy("lang").orderBy("mark", "doc_id")
+    chosen = rows.select("doc_id", "lang").withColumn("mark", mark).filter(F.col("mark") < bound)
+    chosen = chosen.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_language)
     # at most per_language * max_languages ids
     sample = rows.join(F.broadcast(chosen.select("doc_id", "lang").distinct()), ["doc_id", "lang"], "left_semi")
 
