@@ -7,7 +7,7 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
-from itertools import repeat
+from itertools import compress, repeat
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -113,9 +113,9 @@ class WordStore:
     def ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all words, number of ids of each)."""
         slot = np.fromiter(map(self.slots.get, words, repeat(-1)), np.int64, len(words))
-        missing = np.flatnonzero(slot < 0)
-        if len(missing):
-            absent = [words[i] for i in missing.tolist()]
+        missing = slot < 0
+        if missing.any():
+            absent = list(compress(words, missing.tolist()))
             new = list(dict.fromkeys(absent))
             if len(self.slots) and len(self.slots) + len(new) > self.limit:
                 self._thin()

@@ -34,7 +34,7 @@ FRAME_IDS = 1 << 20
 #: Characters of text per round, and words whose ids a worker keeps.
 CHARS = 1_000_000
 KEPT_WORDS = 800_000
-LEVEL = 3
+LEVEL = 1
 END_ID = 2
 
 # Fixed values of the zstandard formats.
@@ -76,10 +76,13 @@ class Encoder:
         A word without a blank in front is set off by a line feed, which is a token of its
         own there; a word of blanks alone would run into the next one and is encoded alone.
         """
-        alone = [i for i, w in enumerate(words) if w.isspace()]
+        alone = [i for i, w in enumerate(words) if w[-1] in _BLANKS]
         together = np.delete(np.arange(len(words)), alone)
-        plain = [words[i] for i in together.tolist()] if alone else words
-        parts = [w if w[0] in _BLANKS else "\n" + w for w in plain]
+        parts = [words[i] for i in together.tolist()] if alone else words.copy()
+        added = np.zeros(len(parts), np.int64)
+        for i in [i for i, w in enumerate(parts) if w[0] not in _BLANKS]:
+            parts[i] = "\n" + parts[i]
+            added[i] = 1
         ids = np.array(self.tokenizer.encode_batch_fast(["".join(parts)], add_special_tokens=False)[0].ids, np.int32)
         reached = np.cumsum(self.width[ids])
         wanted = np.cumsum(np.fromiter(map(len, map(str.encode, parts)), np.int64, len(parts)))
@@ -87,7 +90,6 @@ class Encoder:
         if len(ends) and not np.array_equal(reached[ends - 1], wanted):
             raise ValueError("a token crosses words")
         length = np.diff(np.r_[0, ends]).astype(np.int64)
-        added = np.fromiter(map(len, parts), np.int64, len(parts)) - np.fromiter(map(len, plain), np.int64, len(plain))
         first, length = ends - length + added, length - added
         pool, start, count = ids, np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
         start[together], count[together] = first, length
@@ -128,7 +130,7 @@ class Writer:
         self.counts: list[int] = []
         self.n_ids = 0
 
-    def _frame(self, data: bytes) -> None:
+    def _frame(self, data: bytes | memoryview) -> None:
         import xxhash
 
         packed = self.squeeze.compress(data)
@@ -136,8 +138,10 @@ class Writer:
         self.frames.append(struct.pack("<III", len(packed), len(data), xxhash.xxh64_intdigest(data) & 0xFFFFFFFF))
 
     def add(self, doc_id: int | None, ids: np.ndarray) -> None:
-        for lo in range(0, len(ids), FRAME_IDS):
-            self._frame(ids[lo : lo + FRAME_IDS].astype("<u4").tobytes())
+        """ids: little-endian unsigned 32-bit, contiguous."""
+        data = memoryview(ids).cast("B") if len(ids) else b""
+        for lo in range(0, len(data), 4 * FRAME_IDS):
+            self._frame(data[lo : lo + 4 * FRAME_IDS])
         self.doc_ids.append(doc_id)
         self.counts.append(len(ids))
         self.n_ids += len(ids)
@@ -213,15 +217,17 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int | Non
         fs.create_dir(f"{root}/_tmp", recursive=True)
         draft = f"{root}/_tmp/{name}-{context.taskAttemptId()}"
         model, writer, out = encoder(tokenizer), None, None
-        end = np.zeros(0, np.uint32) if end_id is None else np.array([end_id], np.uint32)
         for batch, texts in common.slices(batches, "text", CHARS):
             if writer is None:
                 out = fs.open_output_stream(draft)
                 writer = Writer(out)
             ids, counts = model.encode(texts)
-            stops = np.r_[0, np.cumsum(counts)]
-            for doc_id, a, b in zip(batch.column(0).to_pylist(), stops[:-1], stops[1:], strict=True):
-                writer.add(doc_id, np.r_[ids[a:b], end])
+            ids = ids.astype("<u4")
+            if end_id is not None:
+                ids, counts = np.insert(ids, np.cumsum(counts), end_id), counts + 1
+            stops = np.cumsum(counts).tolist()
+            for doc_id, a, b in zip(batch.column(0).to_pylist(), [0, *stops], stops, strict=False):
+                writer.add(doc_id, ids[a:b])
         if writer is None:
             return
         writer.finish()

@@ -54,7 +54,7 @@ def test_file_format(tmp_path, monkeypatch):
     with path.open("wb") as out:
         w = tokenfiles.Writer(out)
         for d, ids in docs.items():
-            w.add(d, np.array(ids, np.uint32))
+            w.add(d, np.array(ids, "<u4"))
         w.finish()
     fs, name = common.filesystem(str(path))
     r = tokenfiles.Reader(fs.open_input_file(name))
