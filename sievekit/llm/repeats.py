@@ -20,7 +20,9 @@ document with a smaller id, or earlier in the same one. Strings are judged on th
 
 Texts travel as zstandard blobs by shard. A gram with more than ``MAX_CONTEXTS`` different
 contexts is not indexed at once but place by place: its windows at each place are grouped by
-hash and verified byte by byte, which is exact as well and linear in the group.
+hash and verified byte by byte, which is exact as well and linear in the group. Grams that a
+sample of a large input shows in very many places never meet as a whole: each of their
+windows is a row of its own, keyed by two hashes, once a slice.
 """
 
 from __future__ import annotations
@@ -44,6 +46,12 @@ CHARS = 2_000_000
 INDEX_BYTES = 3_000_000
 #: Different contexts of one gram that are indexed together, at most.
 MAX_CONTEXTS = 20_000
+#: A gram is hot from so many places on; bytes of documents that are sampled to find out;
+#: bytes of input from which that is done; hot grams, at most.
+HOT_CONTEXTS = 1_000_000
+HOT_SAMPLE = 1_000_000_000
+HOT_BYTES = 10_000_000_000
+HOT_GRAMS = 100_000
 
 _M = 2**64
 _BYTE = np.random.default_rng(20).integers(1, _M, 256, dtype=np.uint64)
@@ -84,10 +92,11 @@ def slid(values: np.ndarray, width: int, pick) -> np.ndarray:
     return pick(values[: len(values) - rest], values[rest:]) if rest else values
 
 
-def anchors(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(places, gram hashes) of all anchors of the texts that end at ends."""
+def anchors(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the texts that end at ends: (places, gram hashes) of all anchors, and the anchors'
+    hash of the window at each place, 0 where there is no whole window."""
     if len(text) < LENGTH:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     span = LENGTH - GRAM
     grams = np.maximum(rolled(_BYTE[text], GRAM), np.uint64(1))
     least = slid(grams, span + 1, np.minimum)
@@ -99,14 +108,14 @@ def anchors(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     none = np.zeros(span, np.uint64)
     most = slid(np.concatenate([none, least, none]), span + 1, np.maximum)
     places = np.flatnonzero(most == grams)
-    return places, grams[places]
+    return places, grams[places], least
 
 
-def context_hashes(text: np.ndarray, start: np.ndarray, end: np.ndarray, lead: np.ndarray) -> np.ndarray:
+def context_hashes(text: np.ndarray, start: np.ndarray, end: np.ndarray, lead: np.ndarray, base: int = _BASE2) -> np.ndarray:
     """A hash of text[start:end] and lead, by prefix sums."""
-    power = np.cumprod(np.r_[np.uint64(1), np.full(len(text), _BASE2, np.uint64)])
+    power = np.cumprod(np.r_[np.uint64(1), np.full(len(text), base, np.uint64)])
     prefix = np.r_[np.uint64(0), np.cumsum(_BYTE[text] * power[:-1])]
-    back = np.cumprod(np.r_[np.uint64(1), np.full(len(text), pow(_BASE2, -1, _M), np.uint64)])
+    back = np.cumprod(np.r_[np.uint64(1), np.full(len(text), pow(base, -1, _M), np.uint64)])
     return mixed((prefix[end] - prefix[start]) * back[start] + (lead * 1024 + (end - start)).astype(np.uint64) * np.uint64(_BASE))
 
 
@@ -179,18 +188,27 @@ class RunLengthIndex:
         starts = np.r_[0, ends[:-1]]
         self.end = np.repeat(ends, ends - starts)
         place = np.arange(n)
-        # seven symbols in a word; beyond a text's end lies the smallest symbol
-        symbol = np.r_[text.astype(np.int64) + 1, np.zeros(7, np.int64)]
+        # as many symbols in a word as fit; beyond a text's end lies the smallest symbol
+        used, code = np.unique(text, return_inverse=True)
+        symbol = np.r_[code.astype(np.int64) + 1, np.zeros(64, np.int64)]
+        self.base = len(used) + 1
+        self.width = next(w for w in range(63, 0, -1) if self.base**w < 2**63)
         self.word = np.zeros(n, np.int64)
-        for j in range(7):
-            self.word = self.word * 257 + np.where(place + j < self.end, symbol[j : j + n], 0)
-        rank, width, longest = _dense(self.word), 7, int((ends - starts).max(initial=0))
-        while width < longest:
+        for j in range(self.width):
+            self.word *= self.base
+            self.word += np.where(place + j < self.end, symbol[j : j + n], 0)
+        rank, self.order = _dense(self.word)
+        width, longest = self.width, int((ends - starts).max(initial=0))
+        while width < longest and n and rank.max() < n - 1:
             further = np.zeros(n, np.int64)
             inside = np.flatnonzero(place + width < self.end)
             further[inside] = rank[inside + width] + 1
-            rank, width = _dense(rank * (n + 1) + further), width * 2
-        self.order = np.argsort(rank * np.int64(n) + place)
+            rank, self.order = _dense(rank * (n + 1) + further)
+            width *= 2
+        # equal to their ends: in the order of their places
+        tied = np.bincount(rank, minlength=n)[rank[self.order]] > 1
+        ties = self.order[tied]
+        self.order[tied] = ties[np.lexsort((ties, rank[ties]))]
         before = np.where(place[self.order] > starts[np.searchsorted(ends, self.order, side="right")], symbol[self.order - 1], 0)
         self.heads = np.flatnonzero(np.r_[True, (before[1:] != before[:-1]) | (before[1:] == 0)])
         self.sample_first, self.sample_before = self.order[self.heads], self.order[self.heads - 1]
@@ -208,10 +226,11 @@ class RunLengthIndex:
             p, q = self.word[x], self.word[y]
             same = p == q
             # within the first word that differs, symbol by symbol
-            for shift in range(6, 0, -1):
-                unit = 257**shift
-                length[left[~same & (p // unit == q // unit)]] += 1
-            length[left[same]] += 7
+            rest, p, q = left[~same], p[~same], q[~same]
+            for shift in range(self.width - 1, 0, -1):
+                unit = self.base**shift
+                length[rest[p // unit == q // unit]] += 1
+            length[left[same]] += self.width
             left = left[same]
         return np.minimum(length, room)
 
@@ -238,13 +257,13 @@ class RunLengthIndex:
         return np.sort(self.order[again])
 
 
-def _dense(keys: np.ndarray) -> np.ndarray:
-    """Rank of each key among the different ones, from 0."""
+def _dense(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(rank of each key among the different ones, from 0; an order by rank)."""
     order = np.argsort(keys)
     ranked = keys[order]
     rank = np.empty(len(keys), np.int64)
     rank[order] = np.cumsum(np.r_[False, ranked[1:] != ranked[:-1]]) if len(keys) else 0
-    return rank
+    return rank, order
 
 
 def runs_of(places: np.ndarray, owner: np.ndarray, shift: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -263,7 +282,7 @@ def indexed(text: np.ndarray, ends: np.ndarray, key: np.ndarray, start: np.ndarr
     begins = np.r_[0, ends[:-1]]
     owner = np.repeat(np.arange(len(ends)), ends - begins)
     shift = (start - begins)[owner]
-    when = (_dense(key)[owner] << 32) + np.arange(len(text)) + shift
+    when = (_dense(key)[0][owner] << 32) + np.arange(len(text)) + shift
     places = RunLengthIndex(text, ends).later_repeats(when)
     return runs_of(places, owner[places], shift[places])
 
@@ -322,76 +341,132 @@ def keyed(docs: DataFrame, work: str) -> DataFrame:
     return rows.join(names, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("hash") == F.col("__hash"))).select("key", "doc_id", "text")
 
 
-def find_anchors(rows: DataFrame, n: int) -> DataFrame:
-    """(shard, whole, data): anchors (gram, context, key, place, begin, end) by gram, and
-    stretches (key, start, end) that repeat within their slice."""
+def first_of(same: np.ndarray, key: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which rows are the first of their group, and which repeat it.
+
+    same: whether a row continues the group of the row before; rows are sorted by group, key
+    and place. Rows that agree in key and place are one occurrence of one document and
+    neither repeat it nor count again.
+    """
+    twin = same.copy()
+    twin[1:] &= (key[1:] == key[:-1]) & (place[1:] == place[:-1])
+    return ~same, same & ~twin
+
+
+def continues(*columns: np.ndarray) -> np.ndarray:
+    """Whether a row equals the one before in all columns."""
+    out = np.zeros(len(columns[0]), bool)
+    if len(out):
+        out[1:] = np.logical_and.reduce([c[1:] == c[:-1] for c in columns])
+    return out
+
+
+def _rows(out: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+    shards, kinds, blobs = zip(*out, strict=True) if out else ((), (), ())
+    return pa.RecordBatch.from_arrays([pa.array(shards, pa.int32()), pa.array(kinds, pa.int32()), pa.array(blobs, pa.binary())], ["shard", "kind", "data"])
+
+
+#: Kinds of blobs: anchors by gram or undecided contexts by document; repeated stretches;
+#: windows of hot grams.
+ANCHORS, STRETCHES, WINDOWS = 0, 1, 2
+_BLOBS = "shard int, kind int, data binary"
+
+
+def slices_of(batches) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(text, ends, key): slices of (key, text) rows, documents in the order of their keys."""
+    for batch, texts in common.slices(batches, "text", CHARS):
+        key = batch.column(0).to_numpy()
+        order = np.argsort(key, kind="stable")
+        data = [texts[i].encode("utf-8", "surrogatepass") for i in order]
+        yield np.frombuffer(b"".join(data), np.uint8), np.cumsum([len(d) for d in data]), key[order]
+
+
+def hot_grams(rows: DataFrame, total: int) -> np.ndarray:
+    """Grams that stand in more than HOT_CONTEXTS places by a sample of documents, sorted.
+
+    It only decides how a gram's windows are compared. At most HOT_GRAMS, the most frequent
+    ones; inputs of fewer than HOT_BYTES bytes have none that matter.
+    """
+    if total < HOT_BYTES:
+        return np.zeros(0, np.uint64)
+    share = min(1.0, HOT_SAMPLE / total)
 
     def run(batches):
-        for batch, texts in common.slices(batches, "text", CHARS):
-            key = batch.column(0).to_numpy()
-            order = np.argsort(key, kind="stable")
-            data = [texts[i].encode("utf-8", "surrogatepass") for i in order]
-            text = np.frombuffer(b"".join(data), np.uint8)
-            ends = np.cumsum([len(d) for d in data])
-            place, gram = anchors(text, ends)
+        for text, ends, _ in slices_of(batches):
+            gram, n = np.unique(anchors(text, ends)[1], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(n)], ["gram", "n"])
+
+    sample = rows.select("key", "text").filter(F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < int(share * (1 << 30)) + 1)
+    counts = sample.mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).filter(F.col("n") > HOT_CONTEXTS * share)
+    top = counts.orderBy(F.desc("n"), "gram").limit(HOT_GRAMS).collect()
+    return np.sort(np.array([r["gram"] for r in top], np.int64).view(np.uint64))
+
+
+def find_anchors(rows: DataFrame, n: int, hot: np.ndarray) -> DataFrame:
+    """(shard, kind, data): anchors (gram, context, key, place, begin, end) by gram, windows
+    (hash, hash, key, start) whose anchor is a hot gram, and stretches (key, start, end) that
+    repeat within their slice."""
+
+    def run(batches):
+        for text, ends, keys in slices_of(batches):
+            place, gram, least = anchors(text, ends)
+            out, begins = [], np.r_[0, ends[:-1]]
+            if len(hot):
+                keep = ~np.isin(gram, hot)
+                place, gram = place[keep], gram[keep]
+                start = np.flatnonzero(np.isin(least, hot))
+                one, two = (context_hashes(text, start, start + LENGTH, np.zeros(len(start), np.int64), b) for b in (_BASE, _BASE2))
+                doc = np.searchsorted(ends, start, side="right")
+                own, start = keys[doc], start - begins[doc]
+                order = np.lexsort((start, own, two, one))
+                one, two, own, start = (c[order] for c in (one, two, own, start))
+                first, again = first_of(continues(one, two), own, start)
+                out += [(shard, WINDOWS, blob) for shard, blob in dealt((one[first] % np.uint64(n)).astype(np.int64), [c[first] for c in (one, two, own, start)])]
+                out += [(shard, STRETCHES, blob) for shard, blob in _stretches(own[again], start[again], start[again] + LENGTH, n)]
             doc = np.searchsorted(ends, place, side="right")
-            begins = np.r_[0, ends[:-1]]
             begin, end = np.maximum(place - (LENGTH - GRAM), begins[doc]), np.minimum(place + LENGTH, ends[doc])
             context = context_hashes(text, begin, end, place - begin)
-            own = key[order][doc]
-            inner = place - begins[doc]
-            sort = np.lexsort((inner, own, context, gram))
-            same = np.zeros(len(sort), bool)
-            same[1:] = (gram[sort][1:] == gram[sort][:-1]) & (context[sort][1:] == context[sort][:-1])
-            # rows of one key are one document: their occurrences are the same
-            twin = same.copy()
-            twin[1:] &= (own[sort][1:] == own[sort][:-1]) & (inner[sort][1:] == inner[sort][:-1])
-            first, again = sort[~same], sort[same & ~twin]
-            out = []
-            columns = [gram, context, own, inner, begin - begins[doc], end - begins[doc]]
-            for shard, blob in dealt((gram[first] % np.uint64(n)).astype(np.int64), [c[first] for c in columns]):
-                out.append((shard, False, blob))
-            if len(again):
-                for shard, blob in _stretches(own[again], columns[4][again], columns[5][again], n):
-                    out.append((shard, True, blob))
-            shards, whole, blobs = zip(*out, strict=True) if out else ((), (), ())
-            yield pa.RecordBatch.from_arrays([pa.array(shards, pa.int32()), pa.array(whole, pa.bool_()), pa.array(blobs, pa.binary())], ["shard", "whole", "data"])
-
-    return rows.select("key", "text").mapInArrow(run, "shard int, whole boolean, data binary")
+            columns = [gram, context, keys[doc], place - begins[doc], begin - begins[doc], end - begins[doc]]
+            order = np.lexsort((columns[3], columns[2], context, gram))
+            columns = [c[order] for c in columns]
+            first, again = first_of(continues(*columns[:2]), columns[2], columns[3])
+            out += [(shard, ANCHORS, blob) for shard, blob in dealt((columns[0][first] % np.uint64(n)).astype(np.int64), [c[first] for c in columns])]
+            out += [(shard, STRETCHES, blob) for shard, blob in _stretches(columns[2][again], columns[4][again], columns[5][again], n)]
+            yield _rows(out)
+
+    return rows.select("key", "text").mapInArrow(run, _BLOBS)
 
 
 def meet(found: DataFrame, n: int) -> DataFrame:
-    """(shard, whole, data) by document: repeated stretches (key, start, end), and undecided
+    """(shard, kind, data) by document: repeated stretches (key, start, end), and undecided
     contexts (gram, key, place, begin, end)."""
 
     def run(batches):
-        grams, out = [], []
+        blobs, out = {ANCHORS: [], WINDOWS: []}, []
         for batch in batches:
-            for shard, whole, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if whole:
-                    out.append((shard, True, blob))
+            for shard, kind, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if kind == STRETCHES:
+                    out.append((shard, STRETCHES, blob))
                 else:
-                    grams.append(blob)
-        gram, context, key, place, begin, end = joined(grams, 6)
+                    blobs[kind].append(blob)
+        one, two, key, start = joined(blobs[WINDOWS], 4)
+        order = np.lexsort((start, key, two, one))
+        one, two, key, start = (c[order] for c in (one, two, key, start))
+        _, again = first_of(continues(one, two), key, start)
+        out += [(shard, STRETCHES, blob) for shard, blob in _stretches(key[again], start[again], start[again] + LENGTH, n)]
+
+        gram, context, key, place, begin, end = joined(blobs[ANCHORS], 6)
         order = np.lexsort((place, key, context, gram))
         gram, context, key, place, begin, end = (c[order] for c in (gram, context, key, place, begin, end))
-        if len(gram):
-            new_gram = np.r_[True, gram[1:] != gram[:-1]]
-            new = new_gram | np.r_[True, context[1:] != context[:-1]]
-            # rows that repeat a key and a place are one occurrence of one document
-            twin = ~new & np.r_[False, (key[1:] == key[:-1]) & (place[1:] == place[:-1])]
-            group = np.cumsum(new_gram) - 1
-            several = np.bincount(group, new)[group] > 1
-            again, open_ = ~new & ~twin, new & several
-            for shard, blob in _stretches(key[again], begin[again], end[again], n):
-                out.append((shard, True, blob))
-            for shard, blob in dealt(document_shard(key[open_], n), [c[open_] for c in (gram, key, place, begin, end)]):
-                out.append((shard, False, blob))
+        first, again = first_of(continues(gram, context), key, place)
+        group = np.cumsum(~continues(gram)) - 1
+        undecided = first & (np.bincount(group, first)[group] > 1) if len(group) else first
+        out += [(shard, STRETCHES, blob) for shard, blob in _stretches(key[again], begin[again], end[again], n)]
+        out += [(shard, ANCHORS, blob) for shard, blob in dealt(document_shard(key[undecided], n), [c[undecided] for c in (gram, key, place, begin, end)])]
         for lo in range(0, len(out), 64):
-            shards, whole, blobs = zip(*out[lo : lo + 64], strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(shards, pa.int32()), pa.array(whole, pa.bool_()), pa.array(blobs, pa.binary())], ["shard", "whole", "data"])
+            yield _rows(out[lo : lo + 64])
 
-    return found.repartitionById(n, F.col("shard")).mapInArrow(run, "shard int, whole boolean, data binary")
+    return found.repartitionById(n, F.col("shard")).mapInArrow(run, _BLOBS)
 
 
 def _stretches(key: np.ndarray, start: np.ndarray, end: np.ndarray, n: int) -> Iterator[tuple[int, bytes]]:
@@ -462,7 +537,7 @@ def _pressed(data: bytes) -> bytes:
 
 
 def mark(contexts: DataFrame, n: int) -> DataFrame:
-    """(shard, whole, data) by document: stretches (key, start, end) that the index marks."""
+    """(shard, kind, data) by document: stretches (key, start, end) that the index marks."""
 
     def search(text, size, gram, key, place, begin):
         """Whole grams at a time, as many as fit an index."""
@@ -505,9 +580,9 @@ def mark(contexts: DataFrame, n: int) -> DataFrame:
         parts = list(search(text, size, gram, key, place, begin))
         stretch = [np.concatenate(x) for x in zip(*parts, strict=True)]
         for shard, blob in _stretches(*stretch, n):
-            yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([True]), pa.array([blob], pa.binary())], ["shard", "whole", "data"])
+            yield _rows([(shard, STRETCHES, blob)])
 
-    return contexts.repartitionById(n, F.col("shard")).mapInArrow(run, "shard int, whole boolean, data binary")
+    return contexts.repartitionById(n, F.col("shard")).mapInArrow(run, _BLOBS)
 
 
 def cut(texts: DataFrame, stretches: DataFrame) -> DataFrame:
@@ -547,10 +622,10 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     rows = keyed(docs, work)
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(8, -(-total // SHARD_BYTES))
-    met = common.stored(meet(find_anchors(rows, n), n), f"{work}/met")
-    contexts = take_contexts(text_blobs(rows, n), met.filter("not whole").select("shard", "data"), n)
+    met = common.stored(meet(find_anchors(rows, n, hot_grams(rows, total)), n), f"{work}/met")
+    contexts = take_contexts(text_blobs(rows, n), met.filter(F.col("kind") == ANCHORS).select("shard", "data"), n)
     marked = common.stored(mark(contexts, n), f"{work}/marked")
-    stretches = met.filter("whole").select("shard", "data").union(marked.select("shard", "data"))
+    stretches = met.filter(F.col("kind") == STRETCHES).select("shard", "data").union(marked.select("shard", "data"))
     return cut(text_blobs(rows, n), stretches)
 
 

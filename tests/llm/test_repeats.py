@@ -53,6 +53,14 @@ def test_matches_brute_force(spark, most, monkeypatch):
     assert run(spark, docs) == brute(docs)
 
 
+@pytest.mark.parametrize("least", [0, 3])
+def test_hot_grams(spark, least, monkeypatch):
+    monkeypatch.setattr(repeats, "HOT_BYTES", 0)
+    monkeypatch.setattr(repeats, "HOT_CONTEXTS", least)
+    docs = fixture(17 + least)
+    assert run(spark, docs) == brute(docs)
+
+
 def test_ids_that_repeat_or_lack(spark):
     text = "".join(random.Random(1).choices("abcdefghij", k=150)) + "tail"
     docs = [(None, text), (1, text), (1, text), (0, "short"), (2, None)]
@@ -84,7 +92,7 @@ def test_anchors_are_shared():
     a, b = (np.r_[rng.integers(97, 123, n).astype(np.uint8), passage, rng.integers(97, 123, 77).astype(np.uint8)] for n in (130, 251))
     found = []
     for t, n in ((a, 130), (b, 251)):
-        places, _ = repeats.anchors(t, np.array([len(t)]))
+        places, _, _ = repeats.anchors(t, np.array([len(t)]))
         assert np.diff(places).max() <= repeats.LENGTH - repeats.GRAM + 1
         found.append({p - n for p in places if 60 <= p - n <= 300})
     assert found[0] == found[1]
