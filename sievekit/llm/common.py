@@ -13,6 +13,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+RECORDS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: The namespace of our folders below spark.checkpoint.dir.
 FOLDER = "sievekit"
 
@@ -41,8 +42,14 @@ def stored(df: DataFrame, path: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once a session."""
+    """Send this package to the Python workers, once a session.
+
+    Arrow batches are made smaller where the session has Spark's default: 10,000 whole
+    texts at once are more than a worker should hold.
+    """
     sc = spark.sparkContext
+    if spark.conf.get(RECORDS) == "10000":
+        spark.conf.set(RECORDS, "2000")
     if getattr(sc, "_sievekit_shipped", False):
         return
     here = os.path.dirname(os.path.abspath(__file__))
@@ -67,29 +74,47 @@ def filesystem(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
+def rest() -> None:
+    """Give memory that this worker does not use back to the system."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def slices(batches: Iterator, text: str, limit: int) -> Iterator[tuple]:
     """Cut Arrow batches into (batch, texts) with at most about ``limit`` characters.
 
     One longer text makes a slice of its own. Null texts come out as None.
     """
     for batch in batches:
-        texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
-        start = total = 0
-        for i, t in enumerate(texts):
-            n = len(t) if t else 0
-            if i > start and total + n > limit:
-                yield batch.slice(start, i - start), texts[start:i]
-                start, total = i, 0
-            total += n
-        if start < len(texts):
-            yield batch.slice(start), texts[start:]
+        if not batch.num_rows:
+            continue
+        column = batch.column(batch.schema.get_field_index(text))
+        step = max(1, min(batch.num_rows, limit * batch.num_rows // max(1, column.nbytes)))
+        for base in range(0, batch.num_rows, step):
+            texts = column.slice(base, step).to_pylist()
+            start = total = 0
+            for i, t in enumerate(texts):
+                n = len(t) if t else 0
+                if i > start and total + n > limit:
+                    yield batch.slice(base + start, i - start), texts[start:i]
+                    start, total = i, 0
+                total += n
+            yield batch.slice(base + start, len(texts) - start), texts[start:]
+    rest()
 
 
 class WordStore:
     """Ids of words, encoded when first seen and kept while they recur.
 
     encode gets different words and returns (ids of all, number of ids of each). At most
-    about ``limit`` words stay; when they are too many, those used once go.
+    about ``limit`` words stay; when they are too many, the rarest go.
     """
 
     def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int):
@@ -98,10 +123,11 @@ class WordStore:
         self.pool = np.zeros(0, np.int32)
         self.start, self.length, self.uses = (np.zeros(0, np.int64) for _ in range(3))
 
-    def _thin(self) -> None:
+    def thin(self, most: int) -> None:
+        """Keep the words used most often, at least twice, at most ``most``."""
         stay = np.flatnonzero(self.uses >= 2)
-        if len(stay) > self.limit // 2:
-            stay = stay[:0]
+        if len(stay) > most:
+            stay = np.sort(stay[np.argsort(-self.uses[stay], kind="stable")[:most]])
         place = np.full(len(self.start), -1, np.int64)
         place[stay] = np.arange(len(stay))
         kept = place.tolist()
@@ -118,7 +144,7 @@ class WordStore:
             absent = list(compress(words, missing.tolist()))
             new = list(dict.fromkeys(absent))
             if len(self.slots) and len(self.slots) + len(new) > self.limit:
-                self._thin()
+                self.thin(self.limit // 2)
                 return self.ids(words)
             ids, length = self.encode(new)
             n = len(self.start)

@@ -221,6 +221,8 @@ def links(nodes: DataFrame, bits: int, reach: int, work: str, n_blocks: int | No
         key = np.cumsum(np.r_[True, (c[1:] != c[:-1]) | (v[1:] != v[:-1])])
         stay = partnered(key, x.view(np.uint64), near)
         yield pa.RecordBatch.from_arrays([pa.array(a[stay]) for a in (fp, c, v)], ["fp", "c", "v"])
+        del found, fp, c, x, v, order, key
+        common.rest()
 
     # most keys have one member, or strangers; only rows with a likely partner go on
     keyed = common.stored(keyed.repartition(F.col("c"), part).mapInArrow(shared, "fp long, c int, v long"), f"{work}/keys")
@@ -245,6 +247,8 @@ def links(nodes: DataFrame, bits: int, reach: int, work: str, n_blocks: int | No
         new = np.r_[True, (c[1:] != c[:-1]) | (v[1:] != v[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])]
         pairs = key_links(np.cumsum(new), fp, w.view(np.uint64), reach)
         yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+        del found, fp, c, v, lo, hi, w, order
+        common.rest()
 
     return keyed.repartition("c", "v", "lo", "hi").mapInArrow(run, "a long, b long")
 
