@@ -171,25 +171,33 @@ def perceptual_links(rows: DataFrame) -> DataFrame:
     return near.select("lo", "hi", reason.alias("reason")).filter("reason is not null")
 
 
+HASHES = ["phash", "dhash", "whash", "mirror_phash"]
+
+
 def hash_deduplicate(rows: DataFrame) -> DataFrame:
     """(pos, kept, reason, duplicate_of) by exact digest and perceptual hashes.
 
     rows: pos, sha256, phash, dhash, whash, mirror_phash. A row goes if a kept earlier row
     has its digest ("exact_sha256") or, else, resembles it; duplicate_of is the earliest.
+    Only the first row of each set of equal hashes can be kept and is compared with others;
+    the rest of a set, however large, follows it.
     """
     work = shared_dir(rows.sparkSession)
-    near = stored(perceptual_links(rows), f"{work}/near")
-    # equal digests stand for equal hashes: one link to the digest's first row is enough
-    # where the hashes agree, and all links where they were made to differ
-    same = rows.select("sha256", F.col("pos").alias("hi")).join(rows.groupBy("sha256").agg(F.min("pos").alias("lo")), "sha256").filter("lo < hi").select("lo", "hi")
-    marks = stored(first_kept(rows.select("pos"), near.select("lo", "hi").union(same)), f"{work}/marks")
+    rows = rows.select("pos", "sha256", *HASHES)
+    sets = stored(rows.groupBy(*HASHES).agg(F.min("pos").alias("first"), F.min_by("sha256", "pos").alias("sha256")), f"{work}/sets")
+    firsts = sets.withColumnRenamed("first", "pos")
+    near = stored(perceptual_links(firsts), f"{work}/near")
+    same = firsts.select("sha256", F.col("pos").alias("lo")).join(firsts.select("sha256", F.col("pos").alias("hi")), "sha256").filter("lo < hi").select("lo", "hi")
+    marks = stored(first_kept(firsts.select("pos"), near.select("lo", "hi").union(same)), f"{work}/marks")
     kept = marks.filter("kept").select("pos")
-    alike = near.join(kept.select(F.col("pos").alias("lo")), "lo", "left_semi").groupBy(F.col("hi").alias("pos")).agg(F.min("lo").alias("near_of"), F.min_by("reason", "lo").alias("near_reason"))
-    firsts = rows.select("pos", "sha256").join(kept, "pos", "left_semi").groupBy("sha256").agg(F.min("pos").alias("same_of"))
-    out = rows.select("pos", "sha256").join(marks, "pos").join(alike, "pos", "left").join(firsts, "sha256", "left")
-    exact = F.col("same_of") < F.col("pos")
-    reason = F.when(F.col("kept"), None).when(exact, "exact_sha256").otherwise(F.col("near_reason"))
-    return out.select("pos", "kept", reason.alias("reason"), F.when(F.col("kept"), None).when(exact, F.col("same_of")).otherwise(F.col("near_of")).alias("duplicate_of"))
+    alike = near.join(kept.select(F.col("pos").alias("lo")), "lo", "left_semi").groupBy(F.col("hi").alias("first")).agg(F.min("lo").alias("near_of"), F.min_by("reason", "lo").alias("near_reason"))
+    decided = sets.drop("sha256").join(marks.select(F.col("pos").alias("first"), "kept"), "first").join(alike, "first", "left")
+    exact = firsts.join(kept, "pos", "left_semi").groupBy("sha256").agg(F.min("pos").alias("same_of"))
+    out = rows.join(decided, HASHES).join(exact, "sha256", "left")
+    stays, copy = F.col("kept") & (F.col("pos") == F.col("first")), F.col("same_of") < F.col("pos")
+    of = F.when(F.col("kept"), F.col("first")).otherwise(F.col("near_of"))
+    why = F.when(F.col("kept"), "perceptual_hash").otherwise(F.col("near_reason"))
+    return out.select("pos", stays.alias("kept"), F.when(stays, None).when(copy, "exact_sha256").otherwise(why).alias("reason"), F.when(stays, None).when(copy, F.col("same_of")).otherwise(of).alias("duplicate_of"))
 
 
 def candidate_order(df: DataFrame) -> DataFrame:

@@ -70,6 +70,15 @@ def test_hash_dedup_reasons(spark):
     assert got == {0: (True, None, None), 1: (False, p, 0), 2: (False, p, 0), 3: (False, "exact_sha256", 0), 4: (False, p + "_combined", 0), 5: (True, None, None), 6: (False, p, 0)}
 
 
+def test_hash_dedup_of_many_copies(spark):
+    zero, near, far = "0" * 64, f"{3:064x}", "f" * 64
+    rows = [(0, "a", zero), (1, "b", near), (2, "c", far)] + [(i, "a" if i % 2 else "d", zero) for i in range(3, 400)] + [(i, "b", near) for i in range(400, 500)]
+    df = spark.createDataFrame([(p, s, h, h, h, far if h == zero else zero) for p, s, h in rows], "pos long, sha256 string, phash string, dhash string, whash string, mirror_phash string")
+    got = {r.pos: (r.kept, r.reason, r.duplicate_of) for r in dedup.hash_deduplicate(df).collect()}
+    assert sorted(p for p in got if got[p][0]) == [0, 2]
+    assert got[3] == (False, "exact_sha256", 0) and got[4] == (False, "perceptual_hash", 0) and got[450] == (False, "perceptual_hash", 0)
+
+
 def test_farthest_first():
     unit = np.array([[1, 0], [1, 0], [0, 1], [0.8, 0.6]], float)
     chosen = selection.farthest_first(unit, np.array([0.9, 0.9, 0.1, 0.5]), 4)
