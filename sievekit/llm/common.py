@@ -7,7 +7,6 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
-from itertools import compress, repeat
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -115,46 +114,112 @@ class WordStore:
 
     encode gets different words and returns (ids of all, number of ids of each). At most
     about ``limit`` words stay; when they are too many, the rarest go.
+
+    Words are known by Python's 64-bit keyed string hash and their length, in an
+    open-addressed table of numpy arrays: a lookup of many words is a few gathers, and a word
+    takes some 50 bytes instead of some 200. (Two of 10**6 words agree in both with a
+    probability below 10**-7.)
     """
 
     def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int):
         self.encode, self.limit = encode, limit
-        self.slots: dict[str, int] = {}
-        self.pool = np.zeros(0, np.int32)
-        self.start, self.length, self.uses = (np.zeros(0, np.int64) for _ in range(3))
+        self._clear()
+
+    def _clear(self, room: int = 1024) -> None:
+        # used up to n words and n_ids ids
+        self.n = self.n_ids = 0
+        self.pool = np.zeros(room, np.int32)
+        self.hash = np.zeros(room, np.uint64)
+        self.start = np.zeros(room, np.int64)
+        self.length, self.uses = np.zeros(room, np.int32), np.zeros(room, np.int32)
+        self._index(room)
+
+    def _index(self, words: int) -> None:
+        """An empty table with room for words at a load of a half."""
+        self.bits = max(10, int(2 * words - 1).bit_length())
+        self.key, self.slot = np.zeros(1 << self.bits, np.uint64), np.zeros(1 << self.bits, np.int32)
+
+    def _home(self, h: np.ndarray) -> np.ndarray:
+        return ((h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def _insert(self, h: np.ndarray, slot: np.ndarray) -> None:
+        """Enter different hashes that are not in the table."""
+        mask, at = (1 << self.bits) - 1, self._home(h)
+        while len(h):
+            free = self.key[at] == 0
+            self.key[at[free]] = h[free]
+            won = free & (self.key[at] == h)
+            self.slot[at[won]] = slot[won]
+            h, slot, at = h[~won], slot[~won], (at[~won] + 1) & mask
+
+    def _find(self, h: np.ndarray) -> np.ndarray:
+        """Slots of hashes, -1 for those that are not in the table."""
+        out, mask, at = np.full(len(h), -1, np.int64), (1 << self.bits) - 1, self._home(h)
+        left = np.arange(len(h))
+        while len(left):
+            key = self.key[at]
+            hit = key == h
+            out[left[hit]] = self.slot[at[hit]]
+            on = ~hit & (key != 0)
+            left, h, at = left[on], h[on], (at[on] + 1) & mask
+        return out
 
     def thin(self, most: int) -> None:
         """Keep the words used most often, at least twice, at most ``most``."""
-        stay = np.flatnonzero(self.uses >= 2)
+        stay = np.flatnonzero(self.uses[: self.n] >= 2)
         if len(stay) > most:
             stay = np.sort(stay[np.argsort(-self.uses[stay], kind="stable")[:most]])
-        place = np.full(len(self.start), -1, np.int64)
-        place[stay] = np.arange(len(stay))
-        kept = place.tolist()
-        self.slots = {w: kept[i] for w, i in self.slots.items() if kept[i] >= 0}
-        self.pool, _ = gathered(self.pool, self.start[stay], self.length[stay])
-        self.length = self.length[stay]
-        self.start, self.uses = np.cumsum(self.length) - self.length, np.zeros(len(stay), np.int64)
+        pool, length = gathered(self.pool, self.start[stay], self.length[stay].astype(np.int64))
+        h, uses = self.hash[stay], self.uses[stay] // 2
+        self._clear(max(1024, len(stay)))
+        self.n, self.n_ids = len(stay), len(pool)
+        self.pool = grown(pool, 1024)
+        self.start[: self.n], self.length[: self.n], self.hash[: self.n] = np.cumsum(length) - length, length, h
+        self.uses[: self.n] = uses
+        self._insert(h, np.arange(self.n, dtype=np.int32))
+
+    def settle(self) -> None:
+        """Between tasks: no more than half the limit."""
+        if self.n > self.limit // 2:
+            self.thin(self.limit // 2)
 
     def ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all words, number of ids of each)."""
-        slot = np.fromiter(map(self.slots.get, words, repeat(-1)), np.int64, len(words))
-        missing = slot < 0
-        if missing.any():
-            absent = list(compress(words, missing.tolist()))
-            new = list(dict.fromkeys(absent))
-            if len(self.slots) and len(self.slots) + len(new) > self.limit:
+        h = np.fromiter(map(hash, words), np.int64, len(words)).view(np.uint64)
+        h = np.maximum(h ^ (np.fromiter(map(len, words), np.uint64, len(words)) << np.uint64(40)), np.uint64(1))
+        slot = self._find(h)
+        missing = np.flatnonzero(slot < 0)
+        if len(missing):
+            fresh, first, which = np.unique(h[missing], return_index=True, return_inverse=True)
+            if self.n and self.n + len(fresh) > self.limit:
                 self.thin(self.limit // 2)
                 return self.ids(words)
-            ids, length = self.encode(new)
-            n = len(self.start)
-            self.slots.update(zip(new, range(n, n + len(new)), strict=True))
-            self.start = np.r_[self.start, len(self.pool) + np.cumsum(length) - length]
-            self.length, self.uses = np.r_[self.length, length], np.r_[self.uses, np.zeros(len(new), np.int64)]
-            self.pool = np.r_[self.pool, ids.astype(np.int32)]
-            slot[missing] = np.fromiter(map(self.slots.__getitem__, absent), np.int64, len(absent))
-        self.uses += np.bincount(slot, minlength=len(self.uses))
-        return gathered(self.pool, self.start[slot], self.length[slot])
+            ids, length = self.encode([words[i] for i in missing[first].tolist()])
+            n, end = self.n + len(fresh), self.n_ids + len(ids)
+            self.pool = grown(self.pool, end)
+            self.start, self.length, self.uses, self.hash = (grown(x, n) for x in (self.start, self.length, self.uses, self.hash))
+            self.start[self.n : n] = self.n_ids + np.cumsum(length) - length
+            self.length[self.n : n], self.hash[self.n : n], self.uses[self.n : n] = length, fresh, 0
+            self.pool[self.n_ids : end] = ids
+            slots = np.arange(self.n, n, dtype=np.int32)
+            self.n, self.n_ids = n, end
+            if 2 * n > len(self.key):
+                self._index(2 * n)
+                self._insert(self.hash[:n], np.arange(n, dtype=np.int32))
+            else:
+                self._insert(fresh, slots)
+            slot[missing] = slots[which]
+        np.add.at(self.uses, slot, 1)
+        return gathered(self.pool, self.start[slot], self.length[slot].astype(np.int64))
+
+
+def grown(x: np.ndarray, n: int) -> np.ndarray:
+    """x, or a copy with room for n values and as many again."""
+    if n <= len(x):
+        return x
+    out = np.zeros(2 * n, x.dtype)
+    out[: len(x)] = x
+    return out
 
 
 def gathered(pool: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

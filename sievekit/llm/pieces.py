@@ -30,7 +30,7 @@ from . import common
 #: Characters of text per numpy round.
 CHARS = 1_000_000
 #: Words whose ids a worker keeps, at most.
-KEPT_WORDS = 200_000
+KEPT_WORDS = 1_000_000
 BLANK = "▁"
 _NONE = np.iinfo(np.int32).max
 
@@ -233,7 +233,7 @@ def encode(docs: DataFrame, model: str, keep: list[str], out: str = "ids", text_
             ids, counts = pieces.encode(texts)
             lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), pa.array(ids, pa.int32()))
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], lists], [*keep, out])
-        pieces.words.thin(KEPT_WORDS // 4)
+        pieces.words.settle()
 
     return source.mapInArrow(run, T.StructType([*carried.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))]))
 

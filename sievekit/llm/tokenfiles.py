@@ -33,7 +33,7 @@ from . import common
 FRAME_IDS = 1 << 20
 #: Characters of text per round, and words whose ids a worker keeps.
 CHARS = 1_000_000
-KEPT_WORDS = 400_000
+KEPT_WORDS = 2_000_000
 LEVEL = 1
 END_ID = 2
 
@@ -228,7 +228,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int | Non
             stops = np.cumsum(counts).tolist()
             for doc_id, a, b in zip(batch.column(0).to_pylist(), [0, *stops], stops, strict=False):
                 writer.add(doc_id, ids[a:b])
-        model.words.thin(KEPT_WORDS // 4)
+        model.words.settle()
         if writer is None:
             return
         writer.finish()
