@@ -74,7 +74,7 @@ def score_order(pos: str = "pos") -> list[Column]:
     return [F.desc("clip_margin"), F.desc("clip_positive"), F.asc(pos)]
 
 
-#: Falling thresholds on the margin.
+# Falling thresholds on the margin.
 CORE_THRESHOLDS = [0.025, 0.015, 0.005, -0.005, -0.02, -0.04]
 STRICT_THRESHOLDS = [0.08, 0.065, 0.05, 0.04, 0.03, 0.02, 0.01, 0.0]
 
@@ -152,7 +152,7 @@ def reason_tests(policy: str) -> list[tuple[str, Column]]:
     return [flower, ("red_or_pink", _or("red_fraction", 0.0) > 0.10), ("low_positive", F.col("clip_positive") < 0.185), ("low_margin", raw < -0.035)]
 
 
-#: Rows of the pool of each policy, besides twice what is needed.
+# Rows of the pool of each policy, if twice what is needed is less.
 POLICY_POOL = {"green": 180, "green_raw": 200, "source": 220}
 
 

@@ -61,6 +61,11 @@ def open_set(selected: DataFrame, others: DataFrame, quotas: dict[str, int], n_o
     return cut.filter("split <> 'test'"), hidden
 
 
+def with_minimums(settings: dict[str, int], least: dict[str, int]) -> dict[str, int]:
+    """Settings raised to their minimums; a setting that is not given takes its minimum."""
+    return settings | {name: max(settings.get(name, value), value) for name, value in least.items()}
+
+
 def _union(parts: list[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:

@@ -175,3 +175,9 @@ def test_validation(spark):
     assert rules == {"class_count", "split_count", "digest_twice", "identity_twice"}
     classes = spark.createDataFrame([("a",), ("b",)], "class_name string")
     assert reports.missing_classes(good, "class_name", classes).first().subject == "b"
+
+
+def test_minimums():
+    from sievekit.plans.pipelines import with_minimums
+
+    assert with_minimums({"workers": 4, "candidates": 5000}, {"workers": 20, "candidates": 2000, "sources": 400}) == {"workers": 20, "candidates": 5000, "sources": 400}
