@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
@@ -33,11 +34,19 @@ def ship(spark: SparkSession) -> None:
     if getattr(sc, "_sievekit_core_shipped", False):
         return
     here = os.path.dirname(os.path.abspath(__file__))
-    target = os.path.join(tempfile.mkdtemp(prefix="sievekit"), "sievekit_core.zip")
-    with zipfile.ZipFile(target, "w") as z:
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as z:
         for folder, _, names in os.walk(here):
             for name in sorted(names):
                 if name.endswith(".py"):
                     z.write(full := os.path.join(folder, name), os.path.relpath(full, os.path.dirname(here)))
-    sc.addPyFile(target)
+    from pyarrow import fs
+
+    folder = shared_dir(spark)
+    uri = folder if "://" in folder else "file://" + folder.removeprefix("file:")
+    system, path = fs.FileSystem.from_uri(uri)
+    system.create_dir(path, recursive=True)
+    with system.open_output_stream(f"{path}/sievekit_core.zip") as out:
+        out.write(packed.getvalue())
+    sc.addPyFile(f"{folder}/sievekit_core.zip")
     sc._sievekit_core_shipped = True
