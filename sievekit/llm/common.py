@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
-import zipfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import runtime
+
 RECORDS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: The namespace of our folders below spark.checkpoint.dir.
 FOLDER = "sievekit"
@@ -41,27 +41,14 @@ def stored(df: DataFrame, path: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once a session.
+    """Send the library to the Python workers, once a session.
 
     Arrow batches are made smaller where the session has Spark's default: 10,000 whole
     texts at once are more than a worker should hold.
     """
-    sc = spark.sparkContext
     if spark.conf.get(RECORDS) == "10000":
         spark.conf.set(RECORDS, "2000")
-    if getattr(sc, "_sievekit_shipped", False):
-        return
-    here = os.path.dirname(os.path.abspath(__file__))
-    root = os.path.dirname(os.path.dirname(here))
-    target = os.path.join(tempfile.mkdtemp(prefix=FOLDER), "sievekit_llm.zip")
-    with zipfile.ZipFile(target, "w") as z:
-        for folder in (os.path.dirname(here), here):
-            for name in sorted(os.listdir(folder)):
-                if name.endswith(".py"):
-                    full = os.path.join(folder, name)
-                    z.write(full, os.path.relpath(full, root))
-    sc.addPyFile(target)
-    sc._sievekit_shipped = True
+    runtime.ship(spark)
 
 
 def filesystem(uri: str):

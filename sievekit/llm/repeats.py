@@ -42,8 +42,8 @@ GRAM = 40
 #: Bytes of text of a shard.
 SHARD_BYTES = 16_000_000
 #: Characters of text per numpy round, and bytes of contexts of one index.
-CHARS = 2_000_000
-INDEX_BYTES = 3_000_000
+CHARS = 500_000
+INDEX_BYTES = 400_000
 #: Different contexts of one gram that are indexed together, at most.
 MAX_CONTEXTS = 20_000
 #: A gram is hot from so many places on; bytes of documents that are sampled to find out;
@@ -209,7 +209,7 @@ class RunLengthIndex:
         tied = np.bincount(rank, minlength=n)[rank[self.order]] > 1
         ties = self.order[tied]
         self.order[tied] = ties[np.lexsort((ties, rank[ties]))]
-        before = np.where(place[self.order] > starts[np.searchsorted(ends, self.order, side="right")], symbol[self.order - 1], 0)
+        before = np.where(place == np.repeat(starts, ends - starts), 0, np.r_[0, symbol[: n - 1]] if n else place)[self.order]
         self.heads = np.flatnonzero(np.r_[True, (before[1:] != before[:-1]) | (before[1:] == 0)])
         self.sample_first, self.sample_before = self.order[self.heads], self.order[self.heads - 1]
         self.sample_before[0] = -1
@@ -481,7 +481,7 @@ def text_blobs(rows: DataFrame, n: int) -> DataFrame:
         import zstandard
 
         squeeze = zstandard.ZstdCompressor(level=3)
-        for batch, texts in common.slices(batches, "text", 8 * CHARS):
+        for batch, texts in common.slices(batches, "text", 32 * CHARS):
             key, ids = batch.column(0).to_numpy(), batch.column(1).to_pylist()
             by: dict[int, list] = {}
             for shard, k, i, t in zip(document_shard(key, n).tolist(), key.tolist(), ids, texts, strict=True):
