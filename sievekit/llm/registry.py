@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .langid import op8_language_id
 from .mixing import OP9_SQL, op9_mixing
 from .pii import op5_pii_surrogates
+from .oracles import OP3_SQL, OP4_SQL, OP10_SQL
 from .pieces import op6_sentencepiece
 from .quality import op10_quality_rules
 from .repeats import op3_suffix_array_dedup
@@ -36,5 +37,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_exact_top_k": OP1_SQL,
+        "op3_suffix_array_dedup": OP3_SQL,
+        "op4_warc": OP4_SQL,
         "op9_mixing": OP9_SQL,
+        "op10_quality_rules": OP10_SQL,
     }
