@@ -75,7 +75,9 @@ SELECT doc_id, license,
 FROM n"""
 )
 def license_gate(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.nullif(F.regexp_extract("text", r"[^\n]*[Ll]icen[^\n]*", 0), F.lit("")).alias("license"))
+    # the first line that names a license; a pattern for the whole line would be tried at every place
+    line = F.get(F.filter(F.split("text", "\n"), lambda x: x.rlike("[Ll]icen")), F.lit(0))
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.when(F.col("text").rlike("[Ll]icen"), line).alias("license"))
     codes = spark.createDataFrame([(-i - 1, c) for i, c in enumerate(_CODES)], "doc_id long, license string")
     value = F.col("license")
     return docs.union(codes).select("doc_id", license.normalize_license(value).alias("license"), *[license.license_is_allowed(value, r).alias(r) for r in ("core", "strict", "open_set")])
