@@ -10,7 +10,8 @@ the same for every m.
 That is exact for fingerprints of one word. Similarity of 0.8 on five-word shingles differs in
 too many bits for it, so drop_near_duplicates takes several words (functions of the same
 shingle hashes): close pairs then meet with high probability under a key of any word, and the
-distance is verified over all words.
+distance is verified over all words. Which pairs meet depends on m there, so m is the same at
+every size.
 
 Only different fingerprints are joined, equal ones are one vertex. A key's fingerprints are
 linked by a spanning forest of their verified links, which has the same components as all
@@ -130,6 +131,12 @@ def choose_blocks(n: int, bits: int) -> int:
     return 4 * bits + 1
 
 
+def blocks_for(n: int, bits: int, words: int) -> int:
+    """Blocks of a word. With several words pairs that differ in more than ``bits`` bits of each
+    count too, and fewer of them meet the more blocks there are: always bits + 2 then."""
+    return choose_blocks(n, bits) if words == 1 else bits + 2
+
+
 def forest(ids: np.ndarray, fps: np.ndarray, bits: int) -> list[tuple[int, int]]:
     """Links of a spanning forest of the graph whose links are pairs within ``bits``.
 
@@ -205,7 +212,7 @@ def links(nodes: DataFrame, bits: int, reach: int, work: str, n_blocks: int | No
     common.ship(spark)
     count, first = nodes.count(), nodes.select(F.size("w")).first()
     words = first[0] if first else 1
-    masks = block_masks(bits, n_blocks or max(choose_blocks(count, bits), bits + 2 if words > 1 else 0))
+    masks = block_masks(bits, n_blocks or blocks_for(count, bits, words))
     n_masks, near = len(masks), reach if words == 1 else WORD_BITS
     keys = [F.struct(F.lit(r * n_masks + i).alias("c"), F.get("w", F.lit(r)).alias("x")) for r in range(words) for i in range(n_masks)]
     keyed = nodes.select("fp", F.explode(F.array(*keys)).alias("k")).select("fp", "k.c", "k.x")

@@ -122,3 +122,8 @@ def test_drop_edges(spark):
     ids = sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect())
     assert ids == [(False, 1), (False, 2), (False, 5), (False, 7), (False, 9), (False, 10), (True, 0)]
     assert simhash.drop_near_duplicates(df.filter(F.lit(False))).count() == 0
+
+
+def test_blocks_of_several_words_do_not_follow_the_count():
+    assert {simhash.blocks_for(n, 4, 8) for n in (1, 10**5, 6 * 10**6, 2 * 10**7, 10**9)} == {6}
+    assert simhash.blocks_for(2 * 10**7, 4, 1) == 7
