@@ -11,7 +11,8 @@ That is exact for fingerprints of one word. Similarity of 0.8 on five-word shing
 too many bits for it, so drop_near_duplicates takes several words (functions of the same
 shingle hashes): close pairs then meet with high probability under a key of any word, and the
 distance is verified over all words. Which pairs meet depends on m there, so m is the same at
-every size.
+every size. Links between fingerprints only propose classes then: within each, texts are linked
+if the exact Jaccard similarity of their sets of shingle hashes is high enough.
 
 Only different fingerprints are joined, equal ones are one vertex. A key's fingerprints are
 linked by a spanning forest of their verified links, which has the same components as all
@@ -26,6 +27,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +35,8 @@ from . import common
 
 #: Most members of one key that one task compares.
 TILE = 4096
+#: Shingles of one group of texts that one task compares, about.
+SHINGLES = 2_000_000
 #: Characters of text per numpy round.
 CHARS = 1_000_000
 #: Bits in which the word that a key comes from may differ, if there are several words:
@@ -260,6 +264,100 @@ def links(nodes: DataFrame, bits: int, reach: int, work: str, n_blocks: int | No
     return keyed.repartition("c", "v", "lo", "hi").mapInArrow(run, "a long, b long")
 
 
+def alike_forest(ids: np.ndarray, sizes: np.ndarray, flat: np.ndarray, tenths: int) -> list[tuple[int, int]]:
+    """Links of a spanning forest of the graph whose links are pairs of sets with a Jaccard
+    similarity of ``tenths`` tenths at least; two empty sets are equal.
+
+    flat holds the sets' different values, one set of ``sizes`` values after the other.
+    """
+    out = []
+    flat = np.unique(flat, return_inverse=True)[1]
+    mark = np.zeros(int(flat.max(initial=-1)) + 1, bool)
+    starts = np.cumsum(sizes) - sizes
+    left = np.arange(len(ids))
+    while len(left):
+        todo, left = [left[0]], left[1:]
+        while todo and len(left):
+            i = todo.pop()
+            # sizes alone rule a pair out if the smaller set is too small a share of the larger
+            low, high = np.minimum(sizes[left], sizes[i]), np.maximum(sizes[left], sizes[i])
+            at = np.flatnonzero(10 * low >= tenths * high)
+            if not len(at):
+                continue
+            own = flat[starts[i] : starts[i] + sizes[i]]
+            mark[own] = True
+            values, length = common.gathered(flat, starts[left[at]], sizes[left[at]])
+            ends = np.cumsum(length)
+            hits = np.r_[0, np.cumsum(mark[values])]
+            shared = hits[ends] - hits[ends - length]
+            mark[own] = False
+            near = at[10 * shared >= tenths * (sizes[i] + length - shared)]
+            if len(near):
+                out += [(int(ids[i]), int(ids[j])) for j in left[near]]
+                todo += left[near].tolist()
+                left = np.delete(left, near)
+    return out
+
+
+def alike(docs: DataFrame, classes: DataFrame, width: int, tenths: int, work: str, room: int = SHINGLES) -> DataFrame:
+    """Links (a, b) between texts of one class, by the Jaccard similarity of their shingles.
+
+    docs: t, different, and text. classes: t and root. The links of a class have the same components as
+    all its pairs of ``tenths`` tenths at least. Classes with more than ``room`` shingles are
+    dealt in tiles, every pair of tiles a task of its own.
+    """
+
+    def sets(batches):
+        for batch, texts in common.slices(batches, "text", CHARS):
+            found = [np.unique(np.array(shingle_hashes(x, width), np.uint64)) for x in texts]
+            ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], ["root", "t", "s"])
+
+    members = docs.join(classes, "t").select("root", "t", "text").mapInArrow(sets, "root long, t long, s array<long>")
+    members = common.stored(members, f"{work}/sets")
+    # an empty set counts as well: a class may have any number of texts
+    full = members.groupBy("root").agg(F.sum(F.size("s") + F.lit(16)).alias("n")).filter(F.col("n") > room)
+    full = common.stored(full.select("root", F.ceil(F.col("n") / room).cast("int").alias("tiles")), f"{work}/full")
+    n_full = full.count()
+    if n_full:
+        full = F.broadcast(full) if n_full <= 50_000 else full
+        members = members.join(full, "root", "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
+        members = members.withColumn("own", F.pmod(F.xxhash64("t"), F.col("tiles")).cast("int"))
+        members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+        members = members.select("root", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "t", "s")
+    else:
+        members = members.select("root", F.lit(0).alias("lo"), F.lit(0).alias("hi"), "t", "s")
+
+    def linked(parts):
+        t, sizes = np.concatenate([x[0] for x in parts]), np.concatenate([x[1] for x in parts])
+        pairs = np.array(alike_forest(t, sizes, np.concatenate([x[2] for x in parts]), tenths), np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+    def run(batches):
+        # rows come sorted: one group at a time is held
+        held, parts = None, []
+        for b in batches:
+            if not b.num_rows:
+                continue
+            root, lo, hi, t = (c.to_numpy() for c in b.columns[:4])
+            sizes, flat = pc.list_value_length(b.column(4)).to_numpy().astype(np.int64), b.column(4).flatten().to_numpy()
+            ends = np.r_[0, np.cumsum(sizes)]
+            cuts = np.flatnonzero(np.r_[True, (root[1:] != root[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])])
+            for x, y in zip(cuts, [*cuts[1:], b.num_rows], strict=True):
+                if (key := (root[x], lo[x], hi[x])) != held:
+                    if parts:
+                        yield linked(parts)
+                    held, parts = key, []
+                parts.append((t[x:y], sizes[x:y], flat[ends[x] : ends[y]]))
+        if parts:
+            yield linked(parts)
+        del parts
+        common.rest()
+
+    return members.repartition("root", "lo", "hi").sortWithinPartitions("root", "lo", "hi").mapInArrow(run, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, bits: int = 4, words: int = 1, reach: int | None = None, n_blocks: int | None = None, tile: int = TILE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each document's fingerprint and near-duplicate class: (doc_id, fp, component_id).
 
@@ -284,15 +382,45 @@ def near_duplicates(docs: DataFrame, width: int = 5, bits: int = 4, words: int =
     return table.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
+def similar_texts(docs: DataFrame, width: int = 5, bits: int = 4, words: int = 8, reach: int = 92, tenths: int = 8, room: int = SHINGLES) -> DataFrame:
+    """Each document's class of similar texts: (doc_id, component_id) for doc_id, text.
+
+    Two texts are linked if their sets of shingles have a Jaccard similarity of ``tenths``
+    tenths at least and links between fingerprints (see near_duplicates) join them.
+    component_id is the smallest doc_id reachable over links.
+    """
+    spark = docs.sparkSession
+    work = common.shared_dir(spark)
+    # t names a text
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("t"), F.col("text").cast("string").alias("text"))
+    table = common.stored(fingerprint_table(source, width, words, id_col="t").select(F.col("doc_id").alias("t"), "fp", "w"), f"{work}/fp")
+    nodes = common.stored(table.groupBy("fp").agg(F.first("w").alias("w")), f"{work}/nodes")
+    near = common.components(links(nodes, bits, reach, work, None), work).select(F.col("v").alias("fp"), "root")
+    texts = table.select("t", "fp").distinct().join(near, "fp", "left").select("t", F.coalesce("root", "fp").alias("root"))
+    texts = common.stored(texts, f"{work}/texts")
+    several = texts.groupBy("root").count().filter("count > 1").select("root")
+    classes = common.stored(texts.join(several, "root", "left_semi"), f"{work}/several")
+    exact = f"{work}/exact"
+    label = common.components(alike(source.select("t", "text").dropDuplicates(["t"]), classes, width, tenths, exact, room), exact)
+    label = common.stored(label.select(F.col("v").alias("t"), "root"), f"{exact}/roots")
+    # equal texts shrink to one row before they meet
+    least = source.groupBy("t").agg(F.min("doc_id").alias("first"))
+    named = common.stored(least.join(label, "t", "left").select("t", "first", F.coalesce("root", "t").alias("root")), f"{exact}/named")
+    first = named.groupBy("root").agg(F.min("first").alias("component_id"))
+    named = named.join(first, "root").select("t", "component_id")
+    return source.select("doc_id", "t").join(named, "t").select("doc_id", "component_id")
+
+
 def drop_near_duplicates(docs: DataFrame, width: int = 5, words: int = 8, reach: int = 92) -> DataFrame:
     """Keep of each class the document with the smallest doc_id, all columns as they are.
 
-    The defaults stand for a similarity of 0.8 of the sets of five-word shingles: the words'
-    512 bits then differ in 78 on average, with a deviation of 8.
+    Texts are of one class if links of a similarity of 0.8 of the sets of five-word shingles
+    join them. Fingerprints propose them: at 0.8 the words' 512 bits differ in 78 on average,
+    with a deviation of 8.
     Rows without doc_id are no one's duplicate and stay. Of rows that repeat the kept
     doc_id one stays.
     """
-    found = near_duplicates(docs.select("doc_id", "text"), width, words=words, reach=reach)
+    found = similar_texts(docs.select("doc_id", "text"), width, words=words, reach=reach)
     work = common.shared_dir(docs.sparkSession)
     found = common.stored(found.filter("doc_id is not null"), f"{work}/classes")
     away = found.filter("doc_id <> component_id").select("doc_id").distinct()

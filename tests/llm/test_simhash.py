@@ -127,3 +127,70 @@ def test_drop_edges(spark):
 def test_blocks_of_several_words_do_not_follow_the_count():
     assert {simhash.blocks_for(n, 4, 8) for n in (1, 10**5, 6 * 10**6, 2 * 10**7, 10**9)} == {6}
     assert simhash.blocks_for(2 * 10**7, 4, 1) == 7
+
+
+def brute_jaccard(a, b):
+    x, y = set(simhash.shingle_hashes(a, 5)), set(simhash.shingle_hashes(b, 5))
+    return len(x & y) / len(x | y) if x | y else 1.0
+
+
+def test_alike_forest_has_all_components():
+    rng = np.random.default_rng(4)
+    sets = [np.sort(rng.choice(14, rng.integers(0, 13), replace=False)).astype(np.int64) for _ in range(150)]
+    links = simhash.alike_forest(np.arange(150), np.array([len(x) for x in sets]), np.concatenate(sets), 6)
+
+    def near(a, b):
+        x, y = set(sets[a].tolist()), set(sets[b].tolist())
+        return 10 * len(x & y) >= 6 * len(x | y)
+
+    assert all(near(a, b) for a, b in links)
+    up = list(range(150))
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in links:
+        assert find(a) != find(b)
+        up[find(a)] = find(b)
+    assert all(find(a) == find(b) for a in range(150) for b in range(a) if near(a, b))
+
+
+@pytest.mark.parametrize("room", [2_000_000, 1500])
+def test_similar_texts_are_exactly_similar(spark, room):
+    # pairs around a similarity of 0.8: fingerprints alone link most of those just below
+    rng, rows = random.Random(9), []
+    for g in range(60):
+        base = [f"g{g}w{i}" for i in range(300)]
+        rows.append((len(rows), " ".join(base)))
+        for n in (4, 8):
+            changed = list(base)
+            for at in rng.sample(range(10, 290, 6), n if g % 2 else n + 2):
+                changed[at] = f"x{rng.random()}"
+            rows.append((len(rows), " ".join(changed)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash.similar_texts(df, room=room).collect()}
+    text, missed = dict(rows), 0
+    for first in range(0, len(rows), 3):
+        ids = range(first, first + 3)
+        like = {(a, b): brute_jaccard(text[a], text[b]) >= 0.8 for a in ids for b in ids}
+        for i in ids:
+            up = {i}
+            for _ in ids:
+                up = {b for a in up for b in ids if like[a, b]}
+            missed += got[i] != min(up)
+            assert got[i] in up  # never linked below
+    assert missed <= 6
+
+
+def test_drop_keeps_related_texts_below_the_similarity(spark):
+    rng, rows = random.Random(11), []
+    for g in range(40):
+        base = [f"g{g}w{i}" for i in range(300)]
+        changed = list(base)
+        for at in rng.sample(range(10, 290, 6), 8):
+            changed[at] = "changed"
+        rows += [(2 * g, " ".join(base)), (2 * g + 1, " ".join(changed))]
+        assert 0.75 < brute_jaccard(rows[-1][1], rows[-2][1]) < 0.8
+    assert simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).count() == 80
