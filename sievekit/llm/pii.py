@@ -59,7 +59,7 @@ PATTERNS = {
 #: The group of the card pattern is the only one in the whole.
 ENTITY = "|".join(PATTERNS.values())
 #: Holds in every text with an entity; cheap.
-HINT = rf"[@0-9]|token|TOKEN|(?i:secret|passw|api_?key)|(?<![\p{{L}}\p{{N}}])(?=[\p{{Lu}}г])(?:{_TITLE}|{_NAMES})\.? \p{{Lu}}"
+HINT = rf"[@0-9]|(?i:token|secret|passw|api_?key)|AKIA[A-Z]{{16}}|gh[pousr]_[A-Za-z]{{36}}|sk-[A-Za-z]{{20}}|(?<![\p{{L}}\p{{N}}])(?=[\p{{Lu}}г])(?:{_TITLE}|{_NAMES})\.? \p{{Lu}}"
 
 
 def _digits(x: Column) -> Column:
