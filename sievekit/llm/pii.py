@@ -1,8 +1,9 @@
 """Personal data: detection and surrogate generation, in DataFrame functions only.
 
 Detected are e-mail addresses, IPv4 addresses, card numbers (with a valid check digit),
-social security numbers, phone numbers, secrets (after a word such as ``token =``, or of a
-known form) and persons (a form of address or a listed given name with a surname).
+social security numbers, phone numbers (with a country code in any grouping or none; without
+one in groups of 3, 3 and 4 digits, or with a leading 0 as in French and German numbers),
+secrets (after a word such as ``token =``, digits too, or of a known form) and persons (a form of address or a listed given name with a surname).
 
 Every entity is made of parts: a person of given name and surname, an address of local part
 and domain. A part is replaced by a surrogate derived from a keyed digest of its kind and
@@ -53,11 +54,16 @@ PATTERNS = {
     "ip": rf"(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\w|\.\d)",
     "card": r"(?<![\w.\-+])(?:\d{13,19}|\d{4}([ \-])\d{4}\1\d{4}\1\d{4}|\d{4}[ \-]\d{6}[ \-]\d{5})(?![\w\-])",
     "ssn": r"(?<![\w\-])\d{3}-\d{2}-\d{4}(?![\w\-])",
-    "phone": r"(?<![\w(+\-])(?:(?:\+\d{1,3}[ .\-]?)?(?:\(\d{2,4}\)[ .\-]?|\d{3}[.\-])\d{3}[ .\-]\d{4}|\+\d{1,3}(?:[ .\-]\d{2,4}){2,4})(?![\w\-])",
+    "phone": r"(?:(?<![\w(+\-])(?:(?:\+\d{1,3}[ .\-]?)?(?:\(\d{2,4}\)[ .\-]?|\d{3}[ .\-])\d{3}[ .\-]\d{4}|\+\d{1,3}(?:[ .\-]\d{2,4}){2,4}|0\d(?:[ .\-]\d{2}){4}|0\d{2,4}[ /\-]\d{5,8})"
+    r"|(?<![\w+\-])\+(?:\d{7,15}|(?=\d(?:[ .\-()]{0,3}\d){6})\d{1,3}(?:[ .\-]?\(\d{1,5}\)[ .\-]?\d{1,8}|[ .\-]\d{1,8})(?:[ .\-]\d{1,8}){0,6}))(?![\w\-])",
     "person": rf"(?<![\p{{L}}\p{{N}}])(?=\p{{L}})(?:(?:{_TITLE})\.? (?:(?:{_NAMES}) )?{_SURNAME}|(?:{_NAMES}) {_SURNAME})(?!\p{{L}})",
 }
 #: The group of the card pattern is the only one in the whole.
 ENTITY = "|".join(PATTERNS.values())
+#: The same with what matched as a secret in group 1.
+ENTITY_SECRET = "|".join(f"({x})" if k == "secret" else x.replace(r"\1", r"\2") for k, x in PATTERNS.items())
+#: Before a secret that has the form of a card number.
+MARK = "\u0001"
 #: Holds in every text with an entity; cheap.
 HINT = rf"[@0-9]|(?i:token|secret|passw|api_?key)|AKIA[A-Z]{{16}}|gh[pousr]_[A-Za-z]{{36}}|sk-[A-Za-z]{{20}}|(?<![\p{{L}}\p{{N}}])(?=[\p{{Lu}}г])(?:{_TITLE}|{_NAMES})\.? \p{{Lu}}"
 
@@ -80,15 +86,16 @@ def _luhn_sum(digits: Column, double_last: bool) -> Column:
 
 
 def kind_of(entity: Column) -> Column:
-    """Kind of a matched entity; null if it is none after all (a wrong check digit)."""
+    """Kind of a matched entity; null if it is none after all (a wrong check digit and no
+    MARK)."""
     digits = _digits(entity)
-    numeric = ~entity.rlike(r"[^0-9 \-]")
+    numeric = ~entity.rlike(rf"[^0-9 \-{MARK}]")
     return (
         F.when(entity.rlike("^" + PATTERNS["email"] + "$"), "email")
         .when(entity.rlike("^" + PATTERNS["ip"] + "$"), "ip")
         .when(entity.rlike("^" + PATTERNS["ssn"] + "$"), "ssn")
         .when(entity.rlike("^" + PATTERNS["phone"] + "$"), "phone")
-        .when(numeric & F.length(digits).between(13, 19), F.when(_luhn_sum(digits, False) % 10 == 0, "card"))
+        .when(numeric & F.length(digits).between(13, 19), F.when(_luhn_sum(digits, False) % 10 == 0, "card").when(entity.startswith(MARK), "secret"))
         .when(entity.rlike("^(?:" + PATTERNS["person"] + ")$"), "person")
         .otherwise("secret")
     )
@@ -97,6 +104,8 @@ def kind_of(entity: Column) -> Column:
 def parts_of(entity: Column, kind: Column) -> Column:
     """The entity's parts, array<struct<kind, canon, value>>; kind is null for what stays."""
 
+    entity = F.ltrim(entity, F.lit(MARK))
+
     def name(token: Column) -> Column:
         low = F.lower(token)
         found = F.lit(None).cast("string")
@@ -192,6 +201,21 @@ def dictionary(parts: DataFrame, key: str, work: str) -> DataFrame:
         attempt += 1
 
 
+def _marked(found: Column, text: Column) -> Column:
+    """found, the entities of text, with MARK before the secrets that look like card numbers."""
+
+    def like_card(e: Column) -> Column:
+        return e.rlike(r"^[0-9][0-9\-]{11,}[0-9]$")
+
+    def mark(all_found: Column) -> Column:
+        secrets = F.regexp_extract_all(text, F.lit(ENTITY_SECRET), F.lit(1))
+        marked = F.zip_with(all_found, secrets, lambda e, x: F.when((x != "") & like_card(e), F.concat(F.lit(MARK), e)).otherwise(e))
+        return F.when(F.exists(all_found, like_card), marked).otherwise(all_found)
+
+    # the text is searched once for found, though mark names it several times
+    return F.get(F.transform(F.array(found), mark), F.lit(0))
+
+
 def _respell_like(value: Column, kind: Column, new: Column) -> Column:
     """The surrogate in the value's form: separators between digits, case of names."""
 
@@ -222,9 +246,10 @@ def pseudonymise(docs: DataFrame, key: str = KEY, text_col: str = "text", count_
     hinted = F.coalesce(text.rlike(HINT), F.lit(False))
     found = F.when(hinted, F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0)))
     has = F.coalesce(F.size(found) > 0, F.lit(False))
+    keyed = _marked(found, text)
     ids = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in names if c == "doc_id"])
     # (id, hash of the text) names a text; equal rows share their entities anyway
-    here = docs.filter(has).select(ids.alias("__id"), F.xxhash64(text).alias("__hash"), F.explode(F.array_distinct(found)).alias("entity"))
+    here = docs.filter(has).select(ids.alias("__id"), F.xxhash64(text).alias("__hash"), F.explode(F.array_distinct(keyed)).alias("entity"))
     mentions = common.stored(here.distinct(), f"{work}/mentions")
     entities = mentions.select("entity").distinct().withColumn("kind", kind_of(F.col("entity"))).filter("kind is not null")
     entities = common.stored(entities, f"{work}/entities")
@@ -238,9 +263,9 @@ def pseudonymise(docs: DataFrame, key: str = KEY, text_col: str = "text", count_
     renamed = renamed.select("entity", F.expr("array_join(news, glue)").alias("renamed"))
     lists = mentions.join(renamed, "entity").groupBy("__id", "__hash").agg(F.map_from_entries(F.collect_list(F.struct("entity", "renamed"))).alias("__map"))
 
-    target = docs.filter(has).withColumns({"__id": ids, "__hash": F.xxhash64(text), "__found": found})
+    target = docs.filter(has).withColumns({"__id": ids, "__hash": F.xxhash64(text), "__found": keyed})
     target = target.join(lists, ["__id", "__hash"], "left")
-    renewed = F.transform("__found", lambda e: F.coalesce(F.try_element_at("__map", e), e))
+    renewed = F.transform("__found", lambda e: F.coalesce(F.try_element_at("__map", e), F.ltrim(e, F.lit(MARK))))
     between = F.split(text, ENTITY, -1)
     rebuilt = F.array_join(F.transform(F.arrays_zip(between.alias("a"), renewed.alias("b")), lambda x: F.concat(x["a"], F.coalesce(x["b"], F.lit("")))), "")
     number = F.size(F.filter("__found", lambda e: F.coalesce(F.map_contains_key("__map", e), F.lit(False)))).cast("long")

@@ -99,3 +99,19 @@ def test_secrets_without_digits(spark):
     forms += ["Mr. Tom Sawyer", "Mary Jones", "г-н Сидоров", "Мария Иванова"]
     got = scrub(spark, [f"see {x} there" for x in forms])
     assert [i for i, x in enumerate(forms) if got[i].score != 1 or x in got[i].text] == []
+
+
+def test_phone_numbers_in_other_forms(spark):
+    forms = ["+14155550123", "415 555 0123", "+33 1 23 45 67 89", "+49 30 1234567", "+49 151 23456789", "(+33 1 23 45 67 89)", "+49 (0)30 1234567", "+44 20 7946 0958", "01 23 45 67 89", "030 1234567", "+1 (017) 555-7713"]
+    plain = ["from 10 to 200 in 2024", "1 000 000 items", "+5 points", "05/2024", "2024-01-15", "3.14159 26535"]
+    got = scrub(spark, [f"call {x}, or not" for x in forms] + plain)
+    assert [x for i, x in enumerate(forms) if got[i].score != 1 or x in got[i].text] == []
+    assert all(re.sub("[0-9]", "0", got[i].text) == re.sub("[0-9]", "0", f"call {x}, or not") for i, x in enumerate(forms))
+    assert [got[len(forms) + i].text for i in range(len(plain))] == plain
+
+
+def test_secrets_of_digits(spark):
+    got = scrub(spark, ["password: 1234567890123 and 1234567890123 and 4111111111111111", "order 1234567890123", "token=4111111111111111"])
+    secret, order, card = re.fullmatch(r"password: (\d{13}) and (\d{13}) and (\d{16})", got[0].text).groups()
+    assert secret != "1234567890123" == order and got[0].score == 2
+    assert got[1].text == "order 1234567890123" and got[2].text == f"token={card}" and luhn(card)
