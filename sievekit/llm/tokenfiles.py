@@ -54,9 +54,13 @@ class Encoder:
 
     Texts are cut where a blank follows a non-blank: the byte-level pre-tokenizer always
     starts a new token there, so the ids are those of the whole text.
+
+    With ``added`` the ids are those of the library's defaults: a text that holds an added
+    token, as <|endoftext|>, gets its id there. Such texts are encoded whole by the library.
+    Else special tokens are text like any other.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -64,6 +68,9 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        contents = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if added else []
+        self.added = re.compile("|".join(map(re.escape, contents))) if contents else None
+        self.whole = Tokenizer.from_file(path) if contents else None
         # a byte-level token has a character for each of its bytes
         self.width = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
         for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
@@ -103,19 +110,29 @@ class Encoder:
         """(ids of all texts, number of ids of each)."""
         words: list[str] = []
         counts = []
-        for t in texts:
-            found = _CHUNK.findall(t) if t else []
+        whole = [i for i, t in enumerate(texts) if t and self.added and self.added.search(t)]
+        apart = set(whole)
+        for i, t in enumerate(texts):
+            found = _CHUNK.findall(t) if t and i not in apart else []
             counts.append(len(found))
             words += found
         ids, length = self.words.ids(words)
         ends = np.r_[0, np.cumsum(length)]
         stops = np.cumsum([0, *counts])
-        return ids, ends[stops[1:]] - ends[stops[:-1]]
+        start, count = ends[stops[:-1]], ends[stops[1:]] - ends[stops[:-1]]
+        if not whole:
+            return ids, count
+        pool = [ids]
+        for i in whole:
+            own = np.array(self.whole.encode(texts[i], add_special_tokens=False).ids, np.int32)
+            start[i], count[i] = sum(map(len, pool)), len(own)
+            pool.append(own)
+        return common.gathered(np.concatenate(pool), start, count)
 
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
-    return Encoder(path)
+    return Encoder(path, added=True)
 
 
 class Writer:

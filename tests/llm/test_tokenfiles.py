@@ -67,3 +67,16 @@ def test_file_format(tmp_path, monkeypatch):
     path.write_bytes(data)
     with pytest.raises((ValueError, zstandard.ZstdError)):
         tokenfiles.Reader(fs.open_input_file(name)).tokens(0)
+
+
+def test_tokens_are_those_of_the_unaltered_library(spark):
+    from tokenizers import Tokenizer
+
+    lib = Tokenizer.from_file(tokenfiles.default_tokenizer())
+    end = "<|endoftext|>"
+    texts = [f"a{end}b", "plain text", end, f" {end} {end}x\n", None, "", f"<|endof{end}text|>", "a<|endoftext|b"] * 2
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    manifest = tokenfiles.write_tokens(docs, common.shared_dir(spark), tokenfiles.default_tokenizer())
+    got = {r.doc_id: np.frombuffer(r.tokens, "<u4").tolist() for r in tokenfiles.read_tokens(manifest).collect()}
+    assert got == {i: [*lib.encode(t or "", add_special_tokens=False).ids, 2] for i, t in enumerate(texts)}
+    assert got[0] == [64, 50256, 65, 2]
