@@ -1,3 +1,5 @@
+import hashlib
+import hmac
 import re
 
 from pyspark.sql import functions as F
@@ -16,9 +18,9 @@ TEXTS = [
 ]
 
 
-def scrub(spark, texts, **more):
+def scrub(spark, texts, key="tests"):
     df = spark.createDataFrame([(i, t, *[None] * 11) for i, t in enumerate(texts)], SCHEMA)
-    return {r.doc_id: r for r in pii.pseudonymise(df, count_col="score", **more).collect()}
+    return {r.doc_id: r for r in pii.pseudonymise(df, key, count_col="score").collect()}
 
 
 def luhn(digits):
@@ -72,12 +74,12 @@ def test_crowded_space_terminates(spark):
 
 def test_edges(spark):
     df = awkward(spark)
-    got = pii.pseudonymise(df)
+    got = pii.pseudonymise(df, 'tests')
     assert got.columns == df.columns and sorted(map(str, got.collect())) == sorted(map(str, df.collect()))
-    assert pii.pseudonymise(empty(spark)).count() == 0
+    assert pii.pseudonymise(empty(spark), 'tests').count() == 0
     again = df.unionByName(df.limit(1).withColumn("text", F.lit("a@b.com a@b.com")).withColumn("doc_id", F.lit(None).cast("long")))
     twice = again.unionByName(again.filter("text like '%@%'"))
-    rows = [r.text for r in pii.pseudonymise(twice).collect() if "@" in (r.text or "")]
+    rows = [r.text for r in pii.pseudonymise(twice, 'tests').collect() if "@" in (r.text or "")]
     assert len(rows) == 2 and rows[0] == rows[1] and len(set(rows[0].split())) == 1 and "a@b.com" not in rows[0]
 
 
@@ -89,7 +91,7 @@ def test_long_text(spark):
 
 def test_main_path_is_native(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "doc_id long, text string")
-    plan = pii.pseudonymise(df)._jdf.queryExecution().executedPlan().toString()
+    plan = pii.pseudonymise(df, 'tests')._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
 
 
@@ -115,3 +117,66 @@ def test_secrets_of_digits(spark):
     secret, order, card = re.fullmatch(r"password: (\d{13}) and (\d{13}) and (\d{16})", got[0].text).groups()
     assert secret != "1234567890123" == order and got[0].score == 2
     assert got[1].text == "order 1234567890123" and got[2].text == f"token={card}" and luhn(card)
+
+
+def test_long_runs_of_every_alphabet(spark):
+    n = 50_000
+    runs = ["x@" + "a." * n + "com", "x" * n + "@a.com", "@" * n, "1" * n, "1-" * n, "+1" + " 2" * n, "(1) " * n, "Mr " * n, "Mr A" + "b" * n, "Mary " * n, "token=" + "a" * n, "a." * n, "1.2.3." * n, "А" * n, "A-B" * n, " " * n]
+    got = scrub(spark, runs)
+    assert got[0].text.endswith(".com") and got[0].text != runs[0] and got[0].score == 1
+    assert len(got[0].text) == len(runs[0]) and got[10].score == 1 and got[2].text == runs[2]
+
+
+def test_marks_in_a_text(spark):
+    texts = ["a" + pii.EDGE + " mail a.b@c.org " + pii.SECRET + " password: 1234567890123", "a" + pii.EDGE + "b" + pii.SECRET + "1"]
+    got = scrub(spark, texts)
+    assert re.fullmatch(f"a{pii.EDGE} mail [a-z]\\.[a-z]@[a-z]\\.org {pii.SECRET} password: \\d{{13}}", got[0].text) and got[0].score == 2
+    assert got[1].text == texts[1]
+
+
+def test_names_that_stand_alone(spark):
+    got = scrub(spark, ["John Smith met Mary Jones. Smith said hello; John left. Smith's hat, Smithson, smith.", "Smith and John are strangers here", "Dr Paul Smith, José García and Wei Zhang; García"])
+    a = re.fullmatch(r"(\w+) (\w+) met (\w+) (\w+)\. (\w+) said hello; (\w+) left\. (\w+)'s hat, Smithson, smith\.", got[0].text).groups()
+    assert a[1] == a[4] == a[6] != "Smith" and a[0] == a[5] != "John" and got[0].score == 2
+    assert got[1].text == "Smith and John are strangers here"
+    b = re.fullmatch(r"Dr (\w+) (\w+), (\w+) (\w+) and (\w+) (\w+); (\w+)", got[2].text).groups()
+    assert b[1] == a[1] and b[3] == b[6] != "García" and b[4] != "Wei"
+
+
+def test_gender_of_surnames(spark):
+    got = scrub(spark, ["Анна Иванова и Иван Иванов", "Мария Чайковская и Пётр Чайковский"])
+    her, him = re.fullmatch(r"\w+ (\w+) и \w+ (\w+)", got[0].text).groups()
+    assert her == him + "а" and him.endswith("ов") and him != "Иванов"
+    her, him = re.fullmatch(r"\w+ (\w+) и \w+ (\w+)", got[1].text).groups()
+    assert her.removesuffix("ая") == him.removesuffix("ий") and him.endswith("ский") and him != "Чайковский"
+
+
+def test_given_names_are_dealt_apart():
+    listed = {k: set(v.split()) for k, v in pii.GIVEN.items()}
+    assert sum(map(len, listed.values())) <= 200
+    for n in (0, 1, 2, 5, 20, 10**6):
+        present = {k: set(sorted(v)[:n]) for k, v in listed.items()}
+        found = pii.given_names(present, "key")
+        assert set(found) == {f"{k}|{x}" for k, v in present.items() for x in v}
+        for k in listed:
+            mine = {x.split("|")[1]: y for x, y in found.items() if x.startswith(k + "|")}
+            assert len(set(mine.values())) == len(mine) and set(mine.values()) <= listed[k]
+            assert all(x != y for x, y in mine.items()) and (2 * n > len(listed[k]) or not set(mine.values()) & present[k])
+
+
+def brute_draw(seed, i, n):
+    return int(hashlib.sha256(f"{seed}|{i}".encode()).hexdigest()[:12], 16) % n
+
+
+def test_surrogates_are_the_keyed_digests(spark):
+    # numbers by brute force: attempt 0 is good where nothing collides
+    got = scrub(spark, ["123-45-6789", "card 4111 1111 1111 1111"], key="k" * 70)
+
+    def seed(kind, canon):
+        return hmac.digest(("k" * 70).encode(), f"{kind}|{canon}|0".encode(), "sha256").hex()
+
+    ssn = "".join(str(brute_draw(seed("ssn", "123456789"), i, 10)) for i in range(9))
+    assert got[0].text == f"{ssn[:3]}-{ssn[3:5]}-{ssn[5:]}"
+    body = "4" + "".join(str(brute_draw(seed("card", "4" + "1" * 15), i, 10)) for i in range(14))
+    digits = got[1].text.removeprefix("card ").replace(" ", "")
+    assert digits[:15] == body and luhn(digits)
