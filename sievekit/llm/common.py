@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from .. import runtime
 
 RECORDS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Bytes of an Arrow batch, about: whole texts have no bound on their length.
+BATCH_BYTES = 16 << 20
 #: The namespace of our folders below spark.checkpoint.dir.
 FOLDER = "sievekit"
 
@@ -44,10 +47,12 @@ def ship(spark: SparkSession) -> None:
     """Send the library to the Python workers, once a session.
 
     Arrow batches are made smaller where the session has Spark's default: 10,000 whole
-    texts at once are more than a worker should hold.
+    texts at once are more than a worker should hold, and so are a few hundred very long ones.
     """
     if spark.conf.get(RECORDS) == "10000":
         spark.conf.set(RECORDS, "2000")
+    if int(spark.conf.get(BYTES, str(2**31 - 1)).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(BYTES, str(BATCH_BYTES))
     runtime.ship(spark)
 
 
@@ -60,6 +65,15 @@ def filesystem(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
+def put_in_place(fs, draft: str, path: str) -> None:
+    """Move a complete file to its name. A file that an earlier attempt has put there stays:
+    attempts write the same bytes, and readers may have it open."""
+    if fs.get_file_info(path).type.name == "NotFound":
+        fs.move(draft, path)
+    else:
+        fs.delete_file(draft)
+
+
 def rest() -> None:
     """Give memory that this worker does not use back to the system."""
     import ctypes
@@ -102,10 +116,10 @@ class WordStore:
     encode gets different words and returns (ids of all, number of ids of each). At most
     about ``limit`` words stay; when they are too many, the rarest go.
 
-    Words are known by Python's 64-bit keyed string hash and their length, in an
-    open-addressed table of numpy arrays: a lookup of many words is a few gathers, and a word
-    takes some 50 bytes instead of some 200. (Two of 10**6 words agree in both with a
-    probability below 10**-7.)
+    Words are looked up by Python's 64-bit keyed string hash and their length, in an
+    open-addressed table of numpy arrays: a lookup of many words is a few gathers. Every word
+    found is compared with the one stored, character by character; a word that shares its
+    hash with another is encoded apart.
     """
 
     def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int):
@@ -113,9 +127,10 @@ class WordStore:
         self._clear()
 
     def _clear(self, room: int = 1024) -> None:
-        # used up to n words and n_ids ids
-        self.n = self.n_ids = 0
-        self.pool = np.zeros(room, np.int32)
+        # used up to n words, n_ids ids and n_chars characters
+        self.n = self.n_ids = self.n_chars = 0
+        self.pool, self.chars = np.zeros(room, np.int32), np.zeros(room, np.uint32)
+        self.char_start, self.char_length = np.zeros(room, np.int64), np.zeros(room, np.int32)
         self.hash = np.zeros(room, np.uint64)
         self.start = np.zeros(room, np.int64)
         self.length, self.uses = np.zeros(room, np.int32), np.zeros(room, np.int32)
@@ -157,10 +172,12 @@ class WordStore:
         if len(stay) > most:
             stay = np.sort(stay[np.argsort(-self.uses[stay], kind="stable")[:most]])
         pool, length = gathered(self.pool, self.start[stay], self.length[stay].astype(np.int64))
+        chars, char_length = gathered(self.chars, self.char_start[stay], self.char_length[stay].astype(np.int64))
         h, uses = self.hash[stay], self.uses[stay] // 2
         self._clear(max(1024, len(stay)))
-        self.n, self.n_ids = len(stay), len(pool)
-        self.pool = grown(pool, 1024)
+        self.n, self.n_ids, self.n_chars = len(stay), len(pool), len(chars)
+        self.pool, self.chars = grown(pool, 1024), grown(chars, 1024)
+        self.char_start[: self.n], self.char_length[: self.n] = np.cumsum(char_length) - char_length, char_length
         self.start[: self.n], self.length[: self.n], self.hash[: self.n] = np.cumsum(length) - length, length, h
         self.uses[: self.n] = uses
         self._insert(h, np.arange(self.n, dtype=np.int32))
@@ -172,8 +189,10 @@ class WordStore:
 
     def ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all words, number of ids of each)."""
+        size = np.fromiter(map(len, words), np.int64, len(words))
         h = np.fromiter(map(hash, words), np.int64, len(words)).view(np.uint64)
-        h = np.maximum(h ^ (np.fromiter(map(len, words), np.uint64, len(words)) << np.uint64(40)), np.uint64(1))
+        h = np.maximum(h ^ (size.astype(np.uint64) << np.uint64(40)), np.uint64(1))
+        points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4")
         slot = self._find(h)
         missing = np.flatnonzero(slot < 0)
         if len(missing):
@@ -181,15 +200,19 @@ class WordStore:
             if self.n and self.n + len(fresh) > self.limit:
                 self.thin(self.limit // 2)
                 return self.ids(words)
-            ids, length = self.encode([words[i] for i in missing[first].tolist()])
-            n, end = self.n + len(fresh), self.n_ids + len(ids)
-            self.pool = grown(self.pool, end)
+            new = missing[first]
+            ids, length = self.encode([words[i] for i in new.tolist()])
+            chars, char_length = gathered(points, (np.cumsum(size) - size)[new], size[new])
+            n, end, char_end = self.n + len(fresh), self.n_ids + len(ids), self.n_chars + len(chars)
+            self.pool, self.chars = grown(self.pool, end), grown(self.chars, char_end)
             self.start, self.length, self.uses, self.hash = (grown(x, n) for x in (self.start, self.length, self.uses, self.hash))
+            self.char_start, self.char_length = grown(self.char_start, n), grown(self.char_length, n)
             self.start[self.n : n] = self.n_ids + np.cumsum(length) - length
             self.length[self.n : n], self.hash[self.n : n], self.uses[self.n : n] = length, fresh, 0
-            self.pool[self.n_ids : end] = ids
+            self.char_start[self.n : n], self.char_length[self.n : n] = self.n_chars + np.cumsum(char_length) - char_length, char_length
+            self.pool[self.n_ids : end], self.chars[self.n_chars : char_end] = ids, chars
             slots = np.arange(self.n, n, dtype=np.int32)
-            self.n, self.n_ids = n, end
+            self.n, self.n_ids, self.n_chars = n, end, char_end
             if 2 * n > len(self.key):
                 self._index(2 * n)
                 self._insert(self.hash[:n], np.arange(n, dtype=np.int32))
@@ -197,7 +220,29 @@ class WordStore:
                 self._insert(fresh, slots)
             slot[missing] = slots[which]
         np.add.at(self.uses, slot, 1)
-        return gathered(self.pool, self.start[slot], self.length[slot].astype(np.int64))
+        start, length = self.start[slot], self.length[slot].astype(np.int64)
+        if len(other := self._others(points, size, slot)):
+            apart = list(dict.fromkeys(words[i] for i in other.tolist()))
+            ids, own = self.encode(apart)
+            at = {w: i for i, w in enumerate(apart)}
+            which = np.array([at[words[i]] for i in other.tolist()])
+            start[other], length[other] = self.n_ids + (np.cumsum(own) - own)[which], own[which]
+            return gathered(np.concatenate([self.pool[: self.n_ids], ids]), start, length)
+        return gathered(self.pool, start, length)
+
+    def _others(self, points: np.ndarray, size: np.ndarray, slot: np.ndarray) -> np.ndarray:
+        """Which words are not the word stored in their slot."""
+        same = size == self.char_length[slot]
+        if same.all():
+            stored, _ = gathered(self.chars, self.char_start[slot], size)
+            wrong = np.flatnonzero(stored != points)
+            return np.unique(np.searchsorted(np.cumsum(size), wrong, side="right"))
+        ends = np.cumsum(size)
+        length = np.where(same, size, 0)
+        mine, _ = gathered(points, ends - size, length)
+        stored, _ = gathered(self.chars, self.char_start[slot], length)
+        wrong = np.searchsorted(np.cumsum(length), np.flatnonzero(stored != mine), side="right")
+        return np.unique(np.r_[np.flatnonzero(~same), wrong])
 
 
 def grown(x: np.ndarray, n: int) -> np.ndarray:
@@ -216,6 +261,23 @@ def gathered(pool: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[n
     return pool[np.repeat(start - (ends - length), length) + np.arange(total)], length
 
 
+def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links with the same components as the links (a, b): every vertex but the smallest of its
+    component with that smallest one."""
+    vertex, at = np.unique(np.r_[a, b], return_inverse=True)
+    x, y = at[: len(a)], at[len(a) :]
+    root = np.arange(len(vertex))
+    while len(x):
+        low, high = np.minimum(root[x], root[y]), np.maximum(root[x], root[y])
+        open_ = low != high
+        x, y, low, high = x[open_], y[open_], low[open_], high[open_]
+        np.minimum.at(root, high, low)
+        while not np.array_equal(up := root[root], root):
+            root = up
+    away = np.flatnonzero(root != np.arange(len(vertex)))
+    return vertex[root[away]], vertex[away]
+
+
 def components(edges: DataFrame, work: str) -> DataFrame:
     """Connected components by contraction: (v, root) for every vertex that is not a root.
 

@@ -11,13 +11,15 @@ merges the leftmost occurrence of a word only.
 
 A word is a run of blanks with what follows it up to the next blank or line feed: no piece
 holds a blank after another character, nor a line feed, so merges never cross words (both
-are checked when a model is loaded).
+are checked when a model is loaded). Words of more than ``LONG`` characters could take as many
+rounds as characters; they are merged one pair at a time from a heap, which gives the same ids.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +33,8 @@ from . import common
 CHARS = 1_000_000
 #: Words whose ids a worker keeps, at most.
 KEPT_WORDS = 1_000_000
+#: Characters of a word that is merged in rounds, at most.
+LONG = 1000
 BLANK = "▁"
 _NONE = np.iinfo(np.int32).max
 
@@ -138,12 +142,63 @@ class Pieces:
             stale = np.flatnonzero(changed)
         return done
 
+    @cached_property
+    def _merges(self) -> dict[int, tuple[int, int]]:
+        """(rank, merged id) by pair."""
+        return dict(zip(self.key.tolist(), zip(self.rank.tolist(), self.merged.tolist(), strict=True), strict=True))
+
+    def merge_long(self, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places, ids) of one word's pieces: always the pair of least rank, the leftmost first.
+
+        The heap holds rank and place in one number; an entry counts if the pair that begins
+        at its place still has its rank.
+        """
+        n, size, merges = self.n, len(symbol), self._merges
+        rank, _ = self._pair(symbol[:-1], symbol[1:])
+        at = np.flatnonzero(rank != _NONE)
+        heap = ((rank[at].astype(np.int64) << 36) | at).tolist()
+        heapq.heapify(heap)
+        ids, before, after = symbol.tolist(), list(range(-1, size - 1)), list(range(1, size + 1))
+        low = (1 << 36) - 1
+        while heap:
+            entry = heapq.heappop(heap)
+            i = entry & low
+            a, j = ids[i], after[i]
+            if a == -2 or j >= size:
+                continue
+            found = merges.get(a * n + ids[j]) if a >= 0 and ids[j] >= 0 else None
+            if found is None or found[0] != entry >> 36:
+                continue
+            ids[i], ids[j] = found[1], -2  # -2: part of the piece before
+            k = after[i] = after[j]
+            if k < size:
+                before[k] = i
+                if ids[k] >= 0 and (new := merges.get(found[1] * n + ids[k])):
+                    heapq.heappush(heap, (new[0] << 36) | i)
+            h = before[i]
+            if h >= 0 and ids[h] >= 0 and (new := merges.get(ids[h] * n + found[1])):
+                heapq.heappush(heap, (new[0] << 36) | h)
+        out = np.array(ids, np.int32)
+        stay = np.flatnonzero(out != -2)
+        return stay, out[stay]
+
     def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all words, number of ids of each)."""
         points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4")
         points = np.where(points == 32, np.uint32(ord(BLANK)), points)
         word = np.repeat(np.arange(len(words), dtype=np.int32), [len(w) for w in words])
-        done = self.merge_rounds(self.char[points], word, np.arange(len(points), dtype=np.int64))
+        symbol, place = self.char[points], np.arange(len(points), dtype=np.int64)
+        done = []
+        if long := [i for i, w in enumerate(words) if len(w) > LONG]:
+            ends = np.cumsum([len(w) for w in words])
+            short = np.ones(len(points), bool)
+            for i in long:
+                lo, hi = ends[i] - len(words[i]), ends[i]
+                at, ids = self.merge_long(symbol[lo:hi])
+                done.append((np.full(len(at), i, np.int32), lo + at, ids))
+                short[lo:hi] = False
+            symbol, word, place = symbol[short], word[short], place[short]
+        done += self.merge_rounds(symbol, word, place)
         if not done:
             return np.zeros(0, np.int32), np.zeros(len(words), np.int64)
         word, place, ids = (np.concatenate(x) for x in zip(*done, strict=True))
@@ -221,9 +276,11 @@ def encode(docs: DataFrame, model: str, keep: list[str], out: str = "ids", text_
     """The columns ``keep`` of docs and ``out``: the ids of text_col, array<int>.
 
     A null or empty text has no ids. Repeated rows each come out; an empty table stays
-    empty. model is a path that every executor can open.
+    empty. A column among keep that is named out is replaced. model is a path that every
+    executor can open.
     """
     common.ship(docs.sparkSession)
+    keep = [c for c in keep if c != out]
     carried = docs.select(*keep)
     source = docs.select(*keep, F.col(text_col).cast("string").alias("__sievekit_text"))
 
@@ -239,8 +296,13 @@ def encode(docs: DataFrame, model: str, keep: list[str], out: str = "ids", text_
 
 
 def decode(encoded: DataFrame, model: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
-    """encoded with ``out`` added: the text of the ids; null ids count as none."""
+    """encoded with ``out`` added: the text of the ids; null ids count as none.
+
+    A column of encoded named out is replaced; repeated rows each come out; an empty table
+    stays empty.
+    """
     common.ship(encoded.sparkSession)
+    encoded = encoded.drop(out)
     names = encoded.columns
     at = names.index(ids_col)
 
@@ -264,6 +326,8 @@ def default_model() -> str:
 
 
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids of documents and of their decoded texts. Null and empty texts have no
+    id; repeated rows each come out, an empty table gives no row, other columns are ignored."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     found = decode(encode(docs, default_model(), ["doc_id"]), default_model())
     ids = F.concat_ws(",", F.col("ids").cast("array<string>"))

@@ -41,3 +41,31 @@ def test_filesystem(tmp_path):
     for uri in (str(tmp_path), f"file:{tmp_path}", f"file://{tmp_path}"):
         fs, path = common.filesystem(uri)
         assert path == str(tmp_path) and fs.get_file_info(path).type.name == "Directory"
+
+
+def test_word_store_compares_words(monkeypatch):
+    """Words that share a hash still get their own ids."""
+    monkeypatch.setattr(common, "hash", lambda w: len(w) % 2, raising=False)
+    rng = random.Random(5)
+
+    def encode(words):
+        return np.array([ord(c) for w in words for c in w], np.int32), np.array([len(w) for w in words], np.int64)
+
+    store = common.WordStore(encode, 100)
+    for _ in range(40):
+        words = ["".join(rng.choice("abé🎉") for _ in range(rng.randrange(1, 5))) for _ in range(50)]
+        ids, length = store.ids(words)
+        assert ids.tolist() == [ord(c) for w in words for c in w] and length.tolist() == [len(w) for w in words]
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_stars(seed):
+    rng = random.Random(seed)
+    n = rng.randrange(40)
+    a, b = (np.array([rng.randrange(25) for _ in range(n)], np.int64) for _ in "ab")
+    least = {x: x for x in [*a.tolist(), *b.tolist()]}
+    for _ in range(30):
+        for x, y in zip(a.tolist(), b.tolist(), strict=True):
+            least[x] = least[y] = min(least[x], least[y])
+    root, vertex = common.stars(a, b)
+    assert dict(zip(vertex.tolist(), root.tolist(), strict=True)) == {x: r for x, r in least.items() if x != r}

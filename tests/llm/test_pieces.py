@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -51,3 +52,20 @@ def test_operator(spark):
     for r in rows:
         assert list(r.ids) == LIBRARY.encode(r.text or "") and r.decoded == LIBRARY.decode(list(r.ids))
     assert pieces.decode(pieces.encode(empty(spark), model, ["doc_id"]), model).count() == 0
+
+
+def test_long_words_equal_library():
+    rng, p = random.Random(7), pieces.Pieces(pieces.default_model())
+    words = ["".join(rng.choice(alphabet) for _ in range(n)) for n in (1001, 3000) for alphabet in ("a", "ab", "theraino", "aé漢🎉b", "0123456789", "=-_")]
+    began = time.perf_counter()
+    for t in [*words, " ".join(words), "".join(rng.choice("etaoinshr") for _ in range(200_000))]:
+        assert p.encode([t])[0].tolist() == LIBRARY.encode(t)
+    assert time.perf_counter() - began < 30
+
+
+def test_heap_equals_rounds(monkeypatch):
+    p = pieces.Pieces(pieces.default_model())
+    expected = [p.encode([t])[0].tolist() for t in texts(9)]
+    monkeypatch.setattr(pieces, "LONG", 2)
+    p.words._clear()
+    assert [p.encode([t])[0].tolist() for t in texts(9)] == expected
