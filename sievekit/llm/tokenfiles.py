@@ -55,12 +55,11 @@ class Encoder:
     Texts are cut where a blank follows a non-blank: the byte-level pre-tokenizer always
     starts a new token there, so the ids are those of the whole text.
 
-    With ``added`` the ids are those of the library's defaults: a text that holds an added
-    token, as <|endoftext|>, gets its id there. Such texts are encoded whole by the library.
-    Else special tokens are text like any other.
+    The ids are those of the library's defaults: a text that holds an added token, as
+    <|endoftext|>, gets its id there. Such texts are encoded whole by the library.
     """
 
-    def __init__(self, path: str, added: bool = False):
+    def __init__(self, path: str):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -68,7 +67,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        contents = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if added else []
+        contents = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(map(re.escape, contents))) if contents else None
         self.whole = Tokenizer.from_file(path) if contents else None
         # a byte-level token has a character for each of its bytes
@@ -132,7 +131,14 @@ class Encoder:
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
-    return Encoder(path, added=True)
+    return Encoder(path)
+
+
+def _checksum(data: bytes | memoryview) -> int:
+    """The low 32 bits of the XXH64."""
+    import xxhash
+
+    return xxhash.xxh64_intdigest(data) & 0xFFFFFFFF
 
 
 class Writer:
@@ -148,11 +154,9 @@ class Writer:
         self.n_ids = 0
 
     def _frame(self, data: bytes | memoryview) -> None:
-        import xxhash
-
         packed = self.squeeze.compress(data)
         self.out.write(packed)
-        self.frames.append(struct.pack("<III", len(packed), len(data), xxhash.xxh64_intdigest(data) & 0xFFFFFFFF))
+        self.frames.append(struct.pack("<III", len(packed), len(data), _checksum(data)))
 
     def add(self, doc_id: int | None, ids: np.ndarray) -> None:
         """ids: little-endian unsigned 32-bit, contiguous."""
@@ -169,8 +173,8 @@ class Writer:
         index = self.squeeze.compress(null.tobytes() + ids.tobytes() + np.array(self.counts, "<i8").tobytes())
         body = struct.pack("<QI", len(self.doc_ids), len(index)) + index
         self.out.write(struct.pack("<II", SKIPPABLE, len(body)) + body)
-        # the index takes part in the offsets with no content of its own
-        self.frames.append(struct.pack("<III", len(body) + 8, 0, 0))
+        # the index takes part in the offsets with no content of its own; its checksum is that of its bytes
+        self.frames.append(struct.pack("<III", len(body) + 8, 0, _checksum(body)))
         table = b"".join(self.frames) + struct.pack("<IBI", len(self.frames), CHECKSUM_FLAG, SEEK_MAGIC)
         self.out.write(struct.pack("<II", SEEK_SKIPPABLE, len(table)) + table)
 
@@ -189,8 +193,11 @@ class Reader:
         self.table = np.frombuffer(self._at(end - 9 - 12 * n, 12 * n), "<u4").reshape(n, 3).astype(np.int64)
         self.offset = np.r_[0, np.cumsum(self.table[:, 0])]
         start = self.offset[-2]
-        n_docs, size = struct.unpack("<QI", self._at(start + 8, 12))
-        index = self.plain.decompress(self._at(start + 20, size), max_output_size=17 * n_docs) if n_docs else b""
+        body = self._at(start + 8, self.table[-1, 0] - 8)
+        if _checksum(body) != self.table[-1, 2]:
+            raise ValueError("document index: wrong checksum")
+        n_docs, size = struct.unpack("<QI", body[:12])
+        index = self.plain.decompress(body[12 : 12 + size], max_output_size=17 * n_docs) if n_docs else b""
         null = np.frombuffer(index, np.uint8, n_docs)
         self.doc_ids = [None if z else int(d) for z, d in zip(null, np.frombuffer(index, "<i8", n_docs, n_docs), strict=True)]
         self.counts = np.frombuffer(index, "<i8", n_docs, 9 * n_docs)
@@ -203,15 +210,13 @@ class Reader:
 
     def tokens(self, i: int) -> bytes:
         """The ids of document i, little-endian; only its frames are read and checked."""
-        import xxhash
-
         lo, hi = self.first[i], self.first[i + 1]
         data = self._at(self.offset[lo], self.offset[hi] - self.offset[lo])
         out = []
         for f in range(lo, hi):
             a = self.offset[f] - self.offset[lo]
             part = self.plain.decompress(data[a : a + self.table[f, 0]], max_output_size=int(self.table[f, 1]))
-            if xxhash.xxh64_intdigest(part) & 0xFFFFFFFF != self.table[f, 2]:
+            if _checksum(part) != self.table[f, 2]:
                 raise ValueError(f"frame {f}: wrong checksum")
             out.append(part)
         return b"".join(out)
@@ -250,9 +255,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int | Non
             return
         writer.finish()
         out.close()
-        if fs.get_file_info(f"{root}/{name}").type.name != "NotFound":
-            fs.delete_file(f"{root}/{name}")
-        fs.move(draft, f"{root}/{name}")
+        common.put_in_place(fs, draft, f"{root}/{name}")
         known = [d for d in writer.doc_ids if d is not None]
         row = {"part": context.partitionId(), "file": f"{folder}/{name}", "n_docs": len(writer.doc_ids), "n_ids": writer.n_ids, "least": min(known, default=None), "most": max(known, default=None)}
         yield pa.RecordBatch.from_pylist([row], MANIFEST)
@@ -319,6 +322,9 @@ def default_tokenizer() -> str:
 
 
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the ids of documents lie in the files, and their checksums, read back from them.
+    Null and empty texts have the end id alone; repeated rows each come out, an empty table
+    gives no row, other columns are ignored."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     manifest = write_tokens(docs, common.shared_dir(spark), default_tokenizer())
     return read_tokens(manifest).select("doc_id", "start", "n_tokens", F.crc32("tokens").alias("ids_crc32"))

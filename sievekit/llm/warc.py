@@ -118,9 +118,7 @@ def write_warc(pages: DataFrame, folder: str, min_bytes: int = 0) -> DataFrame:
 
         def close() -> None:
             out.close()
-            if fs.get_file_info(f"{root}/{name()}").type.name != "NotFound":
-                fs.delete_file(f"{root}/{name()}")
-            fs.move(f"{root}/_tmp/{name()}-{context.taskAttemptId()}", f"{root}/{name()}")
+            common.put_in_place(fs, f"{root}/_tmp/{name()}-{context.taskAttemptId()}", f"{root}/{name()}")
             done.append({"file": f"{folder}/{name()}", "records": n})
 
         for batch in batches:

@@ -13,9 +13,7 @@ from .helpers import awkward, empty
 def library():
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(tokenfiles.default_tokenizer())
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(tokenfiles.default_tokenizer())
 
 
 def test_encoder_equals_library():
