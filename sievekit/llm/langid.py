@@ -40,9 +40,7 @@ UNDETERMINED = "und"
 @lru_cache(maxsize=1)
 def _letters() -> np.ndarray:
     """Of every code point, whether it is a letter."""
-    out = np.zeros(0x110000, bool)
-    out[[i for i in range(0x32000) if chr(i).isalpha()]] = True
-    return out
+    return np.fromiter(map(str.isalpha, map(chr, range(0x110000))), bool, 0x110000)
 
 
 def trigrams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -154,13 +152,13 @@ def held_out(id_col: str = "doc_id"):
 def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, max_languages: int = MAX_LANGUAGES) -> Model:
     """Fit on doc_id, text, lang; rows without a text or label teach nothing.
 
-    Of each label at most per_language rows are used, chosen by a hash of doc_id, and at most
+    Neither do rows without a doc_id. Of each label at most per_language doc_ids are used, chosen by a hash of doc_id, and at most
     max_languages labels, the most frequent ones. Only the trigram counts reach the driver:
     at most BUCKETS a label.
     """
     spark = labelled.sparkSession
     common.ship(spark)
-    rows = labelled.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang")).filter("lang is not null and text is not null")
+    rows = labelled.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang")).filter("doc_id is not null and lang is not null and text is not null")
     top = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
     names = sorted(r["lang"] for r in top)
     if not names:

@@ -72,3 +72,15 @@ def test_trigrams(value):
     letters = sum(c.isalpha() for c in value.lower())
     assert count[doc == 0].sum() == letters == count[doc == 2].sum() and count[doc == 1].sum() == 1
     assert ((0 <= bucket) & (bucket < langid.BUCKETS)).all()
+
+
+def test_letters_of_all_planes():
+    last = next(c for c in map(chr, range(0x10FFFF, 0, -1)) if c.isalpha())
+    assert langid._letters()[ord(last)] and len(langid.trigrams([last * 3])[0]) > 0
+
+
+def test_rows_without_doc_id_teach_nothing(spark):
+    df = labelled(spark)
+    nameless = spark.createDataFrame([(None, text("fr", i), "en") for i in range(300)], "doc_id long, text string, lang string")
+    one, two = langid.fit(df, per_language=20), langid.fit(df.unionByName(nameless), per_language=20)
+    assert one.names == two.names and np.array_equal(one.prob, two.prob)
