@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: Rows of the timing sample; it bounds what reaches the driver and decides only an order.
-SAMPLE_ROWS = 400
+#: Rows of the timing sample, about; it decides only an order.
+SAMPLE_ROWS = 2000
 CHARS = 4_000_000
 
 _SPACE = " \t\n\v\f\r"
@@ -117,25 +117,61 @@ RULES = (
 )
 
 
-def plan(texts: list[str | None], rules: tuple[Rule, ...] = RULES) -> list[tuple[str, float, float]]:
-    """(name, rejected share, seconds a text) of each rule, best rejection per cost first.
+def timed(texts: list[str | None], rules: tuple[Rule, ...] = RULES) -> list[tuple[int, float]]:
+    """(texts rejected, seconds) of each rule.
 
-    Each rule sees fresh texts, so that its cost holds the features it needs. Rules that
-    reject nothing come last, cheapest first; ties are broken by name.
+    Each rule sees fresh texts, so that its cost holds the features it needs.
     """
     found = []
     for rule in rules:
         began = time.perf_counter()
         rejected = sum(rule.rejects(Text(t)) for t in texts)
-        cost = max(time.perf_counter() - began, 1e-9) / max(len(texts), 1)
-        found.append((rule.name, rejected / max(len(texts), 1), cost))
-    return sorted(found, key=lambda x: (-x[1] / x[2], x[2], x[0]))
+        found.append((rejected, time.perf_counter() - began))
+    return found
 
 
-def sampled_order(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> list[str]:
-    """Rule names in the cascade's order, from a hash-chosen sample of rows."""
-    rows = docs.select(F.col(text_col).cast("string").alias("t")).filter(F.pmod(F.xxhash64("t"), F.lit(16)) == 0).limit(sample_rows).collect()
-    return [name for name, _, _ in plan([r[0] for r in rows], rules)]
+def ranked(figures: list[tuple[str, int, float, int]]) -> list[str]:
+    """Rule names, best rejection per cost first, for (name, texts rejected, seconds, texts).
+
+    Rules that reject nothing come last, cheapest first; ties are broken by name.
+    """
+
+    def merit(figure: tuple[str, int, float, int]) -> tuple[float, float, str]:
+        name, rejected, seconds, n = figure
+        cost = max(seconds, 1e-9) / max(n, 1)
+        return -rejected / max(n, 1) / cost, cost, name
+
+    return [x[0] for x in sorted(figures, key=merit)]
+
+
+def sampled_order(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> list[str]:
+    """Rule names in the cascade's order.
+
+    The sample are rows of all partitions, chosen by a hash of id and whole text, about
+    sample_rows of them (all, if there are fewer). The executors run the rules over it; only
+    three numbers a rule and task reach the driver, no text.
+    """
+    common.ship(docs.sparkSession)
+    space = 1 << 40
+    bound = min(space, sample_rows * space // max(docs.count(), 1))
+    source = docs.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).cast("string").alias("text"))
+    source = source.filter(F.pmod(F.xxhash64("i", "text"), F.lit(space)) < bound).select("text")
+
+    def run(batches):
+        total = [[0, 0.0] for _ in rules]
+        n = 0
+        for _, texts in common.slices(batches, "text", CHARS):
+            n += len(texts)
+            for sums, (rejected, seconds) in zip(total, timed(texts, rules), strict=True):
+                sums[0] += rejected
+                sums[1] += seconds
+        if n:
+            columns = [pa.array([r.name for r in rules]), pa.array([int(r) for r, _ in total], pa.int64()), pa.array([s for _, s in total], pa.float64()), pa.array([n] * len(rules), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["name", "rejected", "seconds", "n"])
+
+    found = source.mapInArrow(run, "name string, rejected long, seconds double, n long").groupBy("name").agg(F.sum("rejected"), F.sum("seconds"), F.sum("n"))
+    figures = {r[0]: tuple(r) for r in found.collect()}  # a row a rule
+    return ranked([figures.get(r.name, (r.name, 0, 0.0, 0)) for r in rules])
 
 
 def cascade(docs: DataFrame, rules: tuple[Rule, ...] = RULES, order: list[str] | None = None, measure: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -148,21 +184,21 @@ def cascade(docs: DataFrame, rules: tuple[Rule, ...] = RULES, order: list[str] |
     rows each come out; an empty table gives an empty result; other columns are ignored.
     """
     common.ship(docs.sparkSession)
-    names = order if order is not None else sampled_order(docs, rules, text_col)
+    names = order if order is not None else sampled_order(docs, rules, id_col, text_col)
     limits = {r.name: r for r in rules}
-    ranked = [limits[n] for n in names]
+    cascaded = [limits[n] for n in names]
     ints = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
     def run(batches):
         for batch, texts in common.slices(batches, "text", CHARS):
             if not measure:
-                failed = pa.array([next((r.name for r in ranked if r.rejects(x)), None) for x in map(Text, texts)], pa.string())
+                failed = pa.array([next((r.name for r in cascaded if r.rejects(x)), None) for x in map(Text, texts)], pa.string())
                 yield pa.RecordBatch.from_arrays([batch.column(0), failed.is_null(), failed], ["doc_id", "kept", "failed_rule"])
                 continue
             rows: list[tuple] = []
             for t in texts:
                 x = Text(t)
-                failed = next((r.name for r in ranked if r.rejects(x)), None)
+                failed = next((r.name for r in cascaded if r.rejects(x)), None)
                 base = any(r.rejects(x) for r in BASE)
                 rows.append((*(getattr(x, n) for n in ints), base, failed is None and not base, failed))
             cols = list(zip(*rows, strict=True))
@@ -177,4 +213,6 @@ def cascade(docs: DataFrame, rules: tuple[Rule, ...] = RULES, order: list[str] |
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The digest of cascade over documents. Null and empty texts have no word and fail;
+    repeated rows each come out, an empty table gives no row, other columns are ignored."""
     return cascade(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("failed_rule")

@@ -63,9 +63,19 @@ def test_plan_orders_by_rejection_per_cost():
     cheap = quality.Rule("cheap", lambda t: len(t.text) % 2 == 0)
     useless = quality.Rule("useless", lambda t: False)
     costly = quality.Rule("costly", lambda t: sum(map(ord, t.text * 500)) >= 0 and len(t.text) % 2 == 0)
-    found = quality.plan(["ab" * i + "c" * (i % 2) for i in range(200)], (useless, costly, cheap))
-    assert [f[0] for f in found] == ["cheap", "costly", "useless"]
-    assert [round(f[1], 3) for f in found] == [0.5, 0.5, 0.0]
+    texts = ["ab" * i + "c" * (i % 2) for i in range(200)]
+    rules = (useless, costly, cheap)
+    found = quality.timed(texts, rules)
+    assert [n for n, _ in found] == [0, 100, 100]
+    assert quality.ranked([(r.name, n, s, len(texts)) for r, (n, s) in zip(rules, found, strict=True)]) == ["cheap", "costly", "useless"]
+
+
+def test_sample_covers_all_partitions(spark):
+    # the rule rejects texts of one partition only, in the middle of the table
+    rule = quality.Rule("late", lambda t: t.text.startswith("late"))
+    never = quality.Rule("early", lambda t: False)
+    df = spark.range(0, 20_000, 1, 16).selectExpr("id as doc_id", "concat(if(id between 10000 and 11000, 'late ', 'other '), id) as text")
+    assert quality.sampled_order(df, (never, rule), sample_rows=500) == ["late", "early"]
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 3, 4])
