@@ -16,7 +16,8 @@ if the exact Jaccard similarity of their sets of shingle hashes is high enough.
 
 Only different fingerprints are joined, equal ones are one vertex. A key's fingerprints are
 linked by a spanning forest of their verified links, which has the same components as all
-links and never more rows than members. Keys with more than ``tile`` members are dealt in
+links and never more rows than members; a task gives each vertex one link, to the smallest one of
+its component there. Keys with more than ``tile`` members are dealt in
 tiles: every pair of tiles goes to a task of its own.
 """
 
@@ -257,7 +258,8 @@ def links(nodes: DataFrame, bits: int, reach: int, work: str, n_blocks: int | No
         fp, c, v, lo, hi, w = (x[order] for x in found)
         new = np.r_[True, (c[1:] != c[:-1]) | (v[1:] != v[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])]
         pairs = key_links(np.cumsum(new), fp, w.view(np.uint64), reach)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+        # the same link comes out under many keys: the smallest vertex stands for each component
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in common.stars(pairs[:, 0], pairs[:, 1])], ["a", "b"])
         del found, fp, c, v, lo, hi, w, order
         common.rest()
 
@@ -332,7 +334,7 @@ def alike(docs: DataFrame, classes: DataFrame, width: int, tenths: int, work: st
     def linked(parts):
         t, sizes = np.concatenate([x[0] for x in parts]), np.concatenate([x[1] for x in parts])
         pairs = np.array(alike_forest(t, sizes, np.concatenate([x[2] for x in parts]), tenths), np.int64).reshape(-1, 2)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in common.stars(pairs[:, 0], pairs[:, 1])], ["a", "b"])
 
     def run(batches):
         # rows come sorted: one group at a time is held
@@ -377,7 +379,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, bits: int = 4, words: int =
     label = common.components(links(nodes, bits, bits if reach is None else reach, work, n_blocks, tile), work)
     label = nodes.join(label.select(F.col("v").alias("fp"), "root"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     label = common.stored(label, f"{work}/roots")
-    classes = label.groupBy("root").agg(F.min("first").alias("component_id"))
+    # a table of its own: a class that is large meets it in a join that Spark can split
+    classes = common.stored(label.groupBy("root").agg(F.min("first").alias("component_id")), f"{work}/classes")
     named = label.join(classes, "root").select("fp", "component_id")
     return table.join(named, "fp").select("doc_id", "fp", "component_id")
 
@@ -406,7 +409,7 @@ def similar_texts(docs: DataFrame, width: int = 5, bits: int = 4, words: int = 8
     # equal texts shrink to one row before they meet
     least = source.groupBy("t").agg(F.min("doc_id").alias("first"))
     named = common.stored(least.join(label, "t", "left").select("t", "first", F.coalesce("root", "t").alias("root")), f"{exact}/named")
-    first = named.groupBy("root").agg(F.min("first").alias("component_id"))
+    first = common.stored(named.groupBy("root").agg(F.min("first").alias("component_id")), f"{exact}/first")
     named = named.join(first, "root").select("t", "component_id")
     return source.select("doc_id", "t").join(named, "t").select("doc_id", "component_id")
 
