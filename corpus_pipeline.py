@@ -31,7 +31,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with surrogates for personal data; n_chars follows the new text."""
-    changed = pii.pseudonymise(docs)
+    changed = pii.pseudonymise(docs, pii.session_key(spark))
     if "n_chars" in docs.columns:
         changed = changed.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType)))
     return changed.select(*docs.columns)
