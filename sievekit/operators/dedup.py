@@ -10,11 +10,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vectors
-from ..runtime import shared_dir, ship, stored
+from ..runtime import numbered, shared_dir, ship, stored
 from ..schema import stable_key, url_key
 
 #: Rows of a block of vectors.
@@ -202,4 +202,4 @@ def hash_deduplicate(rows: DataFrame) -> DataFrame:
 
 def candidate_order(df: DataFrame) -> DataFrame:
     """df with pos, the rank of the stable key, and ties by digest."""
-    return df.withColumn("pos", F.row_number().over(Window.orderBy(stable_key(), "sha256")).cast("long"))
+    return numbered(df, "pos", [stable_key(), F.col("sha256")])

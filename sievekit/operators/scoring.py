@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vectors
+from .lookups import lookup_side
 
 #: Prompts up to which they are collected and broadcast inside the plan.
 MAX_PROMPTS = 4096
@@ -86,6 +87,6 @@ def percentile_scaled(df: DataFrame, value: str, out: str, by: list[str] | None
     """value between its exact low and high percentile, as 0 to 1; all 1 where they meet."""
     groups = by or []
     ends = df.groupBy(*groups).agg(F.percentile(value, low).alias("__low"), F.percentile(value, high).alias("__high"))
-    rows = df.join(F.broadcast(ends), groups) if groups else df.join(F.broadcast(ends.withColumn("__one", F.lit(1))), F.lit(1) == F.col("__one")).drop("__one")
+    rows = df.join(lookup_side(ends), groups) if groups else df.join(F.broadcast(ends.withColumn("__one", F.lit(1))), F.lit(1) == F.col("__one")).drop("__one")
     share = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (F.col(value) - F.col("__low")) / (F.col("__high") - F.col("__low"))))
     return rows.withColumn(out, F.when(F.col("__high") > F.col("__low"), share).otherwise(1.0)).drop("__low", "__high")

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import vectors
-from ..runtime import ship
+from ..runtime import shared_dir, ship, stored
 from ..schema import seeded_order
+from .lookups import lookup_side
 from .scoring import percentile_scaled
 
-#: Rows of a pool that one task selects from; pools come out of a top-k filter before.
+#: Rows of a pool that one task selects from; larger ones are selected from in rounds.
 MAX_POOL = 20_000
 
 
@@ -35,24 +38,51 @@ def farthest_first(unit: np.ndarray, quality: np.ndarray, k: int) -> list[int]:
     return chosen
 
 
-def diverse_select(df: DataFrame, k: int, by: str, embedding: str = "embedding", id_col: str = "pos") -> DataFrame:
+def diverse_select(df: DataFrame, k: int, by: str, embedding: str = "embedding", id_col: str = "pos", strict: bool = True, room: int = MAX_POOL) -> DataFrame:
     """(by, id, place): k rows of each group, in the order chosen (place from 1).
 
     df: quality, embedding and an id that orders ties. A group of fewer than k rows is an
-    error, and so is one of more than MAX_POOL: cut pools before.
+    error, or left out if not strict. Groups of up to ``room`` rows are selected from in one
+    task each; larger ones in k rounds over all tasks.
     """
-    ship(df.sparkSession)
+    spark = df.sparkSession
+    ship(spark)
     rows = df.select(F.col(by), F.col(id_col).cast("long").alias(id_col), "quality", vectors.normalized(vectors.doubles(F.col(embedding))).alias("__v"))
+    rows = stored(rows, f"{shared_dir(spark)}/pools")
+    sizes = rows.groupBy(by).agg(F.count("*").alias("__n"))
+    least, most = sizes.agg(F.min("__n"), F.max("__n")).first()
+    if strict and least is not None and least < k:
+        raise ValueError(f"a pool of {least} rows; {k} are required")
 
     def choose(pool: pd.DataFrame) -> pd.DataFrame:
-        if not k <= len(pool) <= MAX_POOL:
-            raise ValueError(f"a pool of {len(pool)} rows; {k} to {MAX_POOL} are required")
         pool = pool.sort_values(id_col, kind="stable").reset_index(drop=True)
         at = farthest_first(np.stack(pool["__v"].to_numpy()), pool["quality"].to_numpy(np.float64), k)
         return pd.DataFrame({by: pool[by].to_numpy()[at], id_col: pool[id_col].to_numpy()[at], "place": np.arange(1, k + 1, dtype=np.int32)})
 
     kind = dict(df.dtypes)[by]
-    return rows.groupBy(by).applyInPandas(choose, f"{by} {kind}, {id_col} long, place int")
+    fits = rows.join(lookup_side(sizes.filter(F.col("__n").between(k, room))), by, "left_semi")
+    out = fits.groupBy(by).applyInPandas(choose, f"{by} {kind}, {id_col} long, place int")
+    if most is None or most <= room or most < k:
+        return out
+    return out.unionByName(_in_rounds(rows.join(lookup_side(sizes.filter(F.col("__n") >= max(k, room + 1))), by, "left_semi"), k, by, id_col))
+
+
+def _in_rounds(rows: DataFrame, k: int, by: str, id_col: str) -> DataFrame:
+    """farthest_first over groups of any size: a round finds each group's best row by partial
+    maxima and lowers all distances by it."""
+    work = shared_dir(rows.sparkSession)
+    state, chosen = rows.withColumn("__d", F.lit(None).cast("double")), []
+    for place in range(1, k + 1):
+        near = F.when(F.col("__d").isNull(), 0.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("__d") / 0.35)))
+        value = F.when(F.col("__d").isNull(), F.col("quality")).otherwise(0.62 * F.col("quality") + 0.38 * near)
+        best = state.groupBy(by).agg(F.max_by(F.struct(id_col, "__v"), F.struct(value, -F.col(id_col))).alias("__best"))
+        best = stored(best.select(by, F.col(f"__best.{id_col}").alias("__id"), F.col("__best.__v").alias("__w")), f"{work}/best{place}")
+        chosen.append(best.select(by, F.col("__id").alias(id_col), F.lit(place).cast("int").alias("place")))
+        if place < k:
+            away = 1.0 - vectors.dot(F.col("__v"), F.col("__w"))
+            state = state.join(lookup_side(best), by).filter(F.col(id_col) != F.col("__id")).select(*rows.columns, F.least("__d", away).alias("__d"))
+            state = stored(state, f"{work}/state{place}")
+    return reduce(DataFrame.unionByName, chosen)
 
 
 def nearest_pairs(unit: DataFrame, k: int = 20, floor: float = 0.0) -> DataFrame:

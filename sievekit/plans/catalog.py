@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from ..functions import html, images, license, text, vectors
 from ..operators import dedup, filters, lookups, reports, scoring, selection, splits
-from ..schema import seeded_order, url_key
-from ..sources import sinks
+from ..schema import seeded_order, stable_key, url_key
+from ..sources import api, files, sinks
 from . import pipelines
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -449,7 +449,7 @@ SELECT label, unnest(chosen) AS pos, CAST(generate_subscripts(chosen, 1) AS INTE
 def diverse_select(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings").withColumn("u", vectors.normalized(vectors.doubles(F.col("embedding"))))
     rows = rows.select(F.col("vec_id").alias("pos"), "label", "embedding", F.get("u", F.lit(0)).alias("clip_margin"), F.get("u", F.lit(1)).alias("clip_positive"))
-    return selection.diverse_select(selection.quality(rows, ["label"]), 10, "label")
+    return selection.diverse_select(selection.quality(rows, ["label"]), 10, "label", strict=False)
 
 
 @query(f"WITH unit AS MATERIALIZED (SELECT vec_id, CAST(u AS DOUBLE[64]) AS u FROM {_UNIT}) SELECT a.vec_id AS lo, b.vec_id AS hi, round(array_inner_product(a.u, b.u), 6) AS similarity FROM unit a JOIN unit b ON a.vec_id < b.vec_id ORDER BY array_inner_product(a.u, b.u) DESC, lo DESC, hi DESC LIMIT 20")
@@ -715,6 +715,146 @@ def hamming(spark, sf_dir):
     return rows.select("vec_id", vectors.hamming_hex(F.col("d"), F.col("e")).cast("int").alias("bits"))
 
 
+# --- sources ------------------------------------------------------------------------------
+
+_TERMS = ["by", "CC0 1.0", "cc by-nc 4.0", "CC_BY 4.0", "all rights reserved", "", "by-sa", "pdm"]
+#: Answers of 40 items a page, made from the parts.
+_ITEMS = f"""SELECT p_partkey AS k, CAST(floor(p_partkey / 40) AS INT) AS page, p_name AS name, p_brand AS brand, {sql_list(_TERMS)}[1 + p_partkey % {len(_TERMS)}] AS terms FROM part"""
+_NORMAL = f"trim(regexp_replace(replace(lower(terms), '_', ' '), '{_SPACE}', ' ', 'g'))"
+_CORE_RULE = f"{_NORMAL} <> '' AND {_any(_NORMAL, license.CORE_FRAGMENTS)}"
+_OPEN_RULE = f"{_NORMAL} <> '' AND ({_NORMAL} IN {in_list(license.OPEN_SET_CODES)} OR {_any(_NORMAL, license.OPEN_SET_FRAGMENTS)})"
+_FOUND = ["class_name", "source", "image_url", "landing_url", "title", "creator", "license", "license_url", "source_id"]
+
+
+def _items(spark, sf_dir) -> DataFrame:
+    terms = F.element_at(F.array(*map(F.lit, _TERMS)), (1 + F.col("p_partkey") % len(_TERMS)).cast("int"))
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), F.floor(F.col("p_partkey") / 40).cast("int").alias("page"), F.col("p_name").alias("name"), F.col("p_brand").alias("brand"), terms.alias("terms"))
+
+
+def _bodies(items: DataFrame, item: Column, **more: Column) -> DataFrame:
+    """(page, body): answers with a list of results in the items' order."""
+    listed = F.transform(F.sort_array(F.collect_list(F.struct("k", item.alias("r")))), lambda x: x["r"])
+    return items.groupBy("page").agg(listed.alias("results")).select("page", F.to_json(F.struct("results", *[v.alias(k) for k, v in more.items()])).alias("body"))
+
+
+def _searched(spark, sf_dir) -> DataFrame:
+    k = F.col("k").cast("string")
+    landing = F.when(F.col("k") % 5 != 0, F.concat(F.lit("https://x.org/p/"), k)).otherwise("")
+    fields = {"id": k, "title": F.col("name"), "creator": F.when(F.col("k") % 7 != 0, F.col("brand")), "license": F.col("terms"), "license_url": F.lit("https://l.org"), "url": F.concat(F.lit("https://x.org/"), k, F.lit(".jpg")), "thumbnail": F.when(F.col("k") % 3 == 0, F.concat(F.lit("https://t.org/"), k)), "foreign_landing_url": landing}
+    return _bodies(_items(spark, sf_dir), F.struct(*[v.alias(n) for n, v in fields.items()]))
+
+
+_SEARCHED = f"""SELECT 'c' AS class_name, 'openverse' AS source, CASE WHEN k % 3 = 0 THEN 'https://t.org/' || k ELSE 'https://x.org/' || k || '.jpg' END AS image_url,
+  CASE WHEN k % 5 <> 0 THEN 'https://x.org/p/' || k ELSE 'https://x.org/' || k || '.jpg' END AS landing_url, name AS title, CASE WHEN k % 7 <> 0 THEN brand ELSE '' END AS creator,
+  terms AS license, 'https://l.org' AS license_url, CAST(k AS VARCHAR) AS source_id FROM ({_ITEMS})"""
+
+
+@query(f"{_SEARCHED} WHERE {_CORE_RULE}")
+def scan_images_core(spark, sf_dir):
+    return api.image_results(_searched(spark, sf_dir), "c", "q").select(*_FOUND)
+
+
+@query(f"{_SEARCHED} WHERE {_OPEN_RULE} AND k % 5 <> 0")
+def scan_images_open_set(spark, sf_dir):
+    return api.image_results(_searched(spark, sf_dir), "c", "q", "open_set", url_as_landing=False).select(*_FOUND)
+
+
+_DETAILS = f"""SELECT 'c' AS class_name, 'wikimedia_commons' AS source, CASE WHEN k % 3 = 0 THEN 'https://t.org/' || k ELSE 'https://u.org/' || k END AS image_url,
+  CASE WHEN k % 4 = 0 THEN '{api.SITE}/wiki/File:' || replace(name, ' ', '_') ELSE 'https://d.org/' || k END AS landing_url, CASE WHEN k % 7 = 0 THEN 'File:' || name ELSE brand END AS title,
+  brand AS creator, {_NORMAL.replace("lower(terms)", "terms").replace("replace(terms, '_', ' ')", "terms")} AS license, '' AS license_url, CAST(k AS VARCHAR) AS source_id, k FROM ({_ITEMS}) WHERE k % 10 NOT IN (3, 7)"""
+
+
+def _details(spark, sf_dir) -> DataFrame:
+    items, k = _items(spark, sf_dir), F.col("k").cast("string")
+
+    def value(v: Column) -> Column:
+        return F.struct(v.alias("value"))
+
+    kind = F.when(F.col("k") % 10 == 3, "image/svg+xml").when(F.col("k") % 10 == 7, "video/ogg").otherwise("image/jpeg")
+    marked = F.concat(F.lit("<b>"), F.col("brand"), F.lit("</b>"))
+    meta = F.struct(value(F.col("terms")).alias("LicenseShortName"), value(marked).alias("Artist"), F.when(F.col("k") % 7 != 0, value(F.col("brand"))).alias("ObjectName"))
+    info = F.struct(kind.alias("mime"), F.concat(F.lit("https://u.org/"), k).alias("url"), F.when(F.col("k") % 3 == 0, F.concat(F.lit("https://t.org/"), k)).alias("thumburl"), F.when(F.col("k") % 4 != 0, F.concat(F.lit("https://d.org/"), k)).alias("descriptionurl"), meta.alias("extmetadata"))
+    page = F.struct(F.col("k").alias("pageid"), F.concat(F.lit("File:"), F.col("name")).alias("title"), F.array(info).alias("imageinfo"))
+    pages = items.groupBy("page").agg(F.map_from_entries(F.collect_list(F.struct(k, page))).alias("pages"))
+    return pages.select("page", F.to_json(F.struct(F.struct("pages").alias("query"))).alias("body"))
+
+
+@query(f"SELECT * EXCLUDE (k) FROM ({_DETAILS}) WHERE {_CORE_RULE.replace('terms', 'license')}")
+def scan_files(spark, sf_dir):
+    return api.file_details(_details(spark, sf_dir), "c", "q").select(*_FOUND)
+
+
+@query(f"SELECT * EXCLUDE (k) FROM ({_DETAILS}) WHERE {_OPEN_RULE.replace('terms', 'license')} AND k % 4 <> 0")
+def scan_files_open_set(spark, sf_dir):
+    return api.file_details(_details(spark, sf_dir), "c", "q", "open_set", require_landing=True).select(*_FOUND)
+
+
+@query(
+    f"""
+WITH photos AS (SELECT *, unnest(range(k % 3)) AS m FROM ({_ITEMS}))
+SELECT 'c' AS class_name, 'inaturalist' AS source, 'https://i.org/' || k || '/large.jpg' AS image_url, CASE WHEN k % 4 = 0 THEN 'https://www.inaturalist.org/observations/' || k ELSE 'https://o.org/' || k END AS landing_url,
+  CASE WHEN k % 5 = 0 THEN 'n' ELSE name END AS title, CASE WHEN m = 0 THEN brand ELSE 'u' || k END AS creator, terms AS license, 'https://creativecommons.org/licenses/' AS license_url, k || ':' || (10 * k + m) AS source_id
+FROM photos WHERE {_CORE_RULE}"""
+)
+def scan_observations(spark, sf_dir):
+    k = F.col("k").cast("string")
+    photo = lambda m: F.struct((10 * F.col("k") + m).alias("id"), F.concat(F.lit("https://i.org/"), k, F.when(m == 0, "/square.jpg").otherwise("/small.jpg")).alias("url"), F.col("terms").alias("license_code"), F.when(m == 0, F.col("brand")).alias("attribution"))
+    photos = F.transform(F.filter(F.array(F.lit(0), F.lit(1)), lambda m: m < F.col("k") % 3), photo)
+    item = F.struct(F.col("k").alias("id"), F.when(F.col("k") % 4 != 0, F.concat(F.lit("https://o.org/"), k)).alias("uri"), F.when(F.col("k") % 5 != 0, F.col("name")).alias("species_guess"), F.struct(F.concat(F.lit("u"), k).alias("login")).alias("user"), photos.alias("photos"))
+    return api.observation_photos(_bodies(_items(spark, sf_dir), item), "c", "n").select(*_FOUND)
+
+
+@query(
+    f"""
+WITH media AS (SELECT *, unnest(range(k % 3)) AS m FROM ({_ITEMS}))
+SELECT 'c' AS class_name, 'gbif' AS source, 'https://g.org/' || k || '/' || m AS image_url, CASE WHEN k % 4 = 0 THEN 'https://www.gbif.org/occurrence/' || k ELSE 'https://r.org/' || k END AS landing_url,
+  CASE WHEN m = 0 THEN name ELSE brand END AS title, 'by ' || k AS creator, CASE WHEN m = 0 THEN terms ELSE 'cc0' END AS license, CASE WHEN m = 0 THEN '' ELSE 'cc0' END AS license_url, k || ':' || 'https://g.org/' || k || '/' || m AS source_id
+FROM media WHERE (m = 1 OR {_CORE_RULE}) AND k % 6 <> 5"""
+)
+def scan_occurrences(spark, sf_dir):
+    k = F.col("k").cast("string")
+    url = lambda m: F.concat(F.when(F.col("k") % 6 != 5, "https").otherwise("ftp"), F.lit("://g.org/"), k, F.lit("/"), m.cast("string"))
+    media = lambda m: F.struct(url(m).alias("identifier"), F.when(m == 1, "cc0").alias("license"), F.when(m == 0, F.col("name")).alias("title"))
+    item = F.struct(F.col("k").alias("key"), F.when(F.col("k") % 4 != 0, F.concat(F.lit("https://r.org/"), k)).alias("references"), F.col("terms").alias("license"), F.col("brand").alias("scientificName"), F.concat(F.lit("by "), k).alias("recordedBy"), F.transform(F.filter(F.array(F.lit(0), F.lit(1)), lambda m: m < F.col("k") % 3), media).alias("media"))
+    return api.occurrence_media(_bodies(_items(spark, sf_dir), item, endOfRecords=F.lit(False)), "c", "n").select(*_FOUND)
+
+
+@query(f"SELECT 'taxon' AS what, min(k) AS id FROM ({_ITEMS}) WHERE lower(name) = (SELECT lower(name) FROM ({_ITEMS}) WHERE k = 77) UNION ALL SELECT 'species', min(k) FROM ({_ITEMS}) WHERE page = 0")
+def taxon_lookup(spark, sf_dir):
+    items = _items(spark, sf_dir)
+    name = items.filter("k = 77").first()["name"]
+    taxon = api.taxon_id(_bodies(items, F.struct(F.col("k").alias("id"), F.col("name").alias("name"))), name.upper())
+    answers = items.groupBy("page").agg(F.min("k").alias("k")).select("page", F.to_json(F.struct(F.lit(0).alias("usageKey"), F.col("k").alias("speciesKey"))).alias("body"))
+    return spark.createDataFrame([("taxon", taxon), ("species", api.species_key(answers))], "what string, id long")
+
+
+_LINKED = """html || '<a href="/wiki/File:Pic_' || (page_id % 97) || '.jpg">p</a><a href="/wiki/File:Doc_' || page_id || '.pdf">d</a>'"""
+
+
+@query("SELECT DISTINCT 'Pic ' || (page_id % 97) || '.jpg' AS title, md5((20 + 313) || '|' || 'Pic ' || (page_id % 97) || '.jpg') AS key, 'see landing page' AS license FROM pages")
+def gallery_files(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select(F.expr(_LINKED).alias("html"))
+    return files.gallery_files(pages, "c", 20).select("title", "key", "license")
+
+
+@query(f"SELECT DISTINCT {_THUMB} || {_WIDTH} || 'px-P_' || page_id || '.jpg' AS image_url, md5((20 + 911) || '|' || {_THUMB} || {_WIDTH} || 'px-P_' || page_id || '.jpg') AS key, {_WIDTH} || 'px-P_' || page_id || '.jpg' AS title FROM pages")
+def gallery_thumbnails(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select(F.expr(_GALLERY).alias("html"))
+    return files.gallery_images(pages, "c", 20).select("image_url", "key", "title")
+
+
+@query("SELECT range AS pos, 'c_' || range AS name, coalesce((SELECT max(p_retailprice) > 1000 FROM part WHERE p_partkey = range), false) AS valid FROM range(500)")
+def probing_scan(spark, sf_dir):
+    there = table(spark, sf_dir, "part").select(F.concat(F.lit("c_"), F.col("p_partkey").cast("string")).alias("name"), F.col("p_retailprice").alias("n_bytes"))
+    return files.probed(spark, 500, lambda i: F.concat(F.lit("c_"), i.cast("string")), there)
+
+
+@query("SELECT p_partkey AS k, row_number() OVER (ORDER BY p_brand || '|' || p_name || '|' || p_partkey || '|' || p_type || '|', md5(CAST(p_partkey AS VARCHAR))) AS pos FROM part")
+def candidate_order(spark, sf_dir):
+    rows = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), F.col("p_brand").alias("class_name"), F.col("p_name").alias("source"), F.col("p_partkey").cast("string").alias("source_id"), F.col("p_type").alias("image_url"), F.lit(None).cast("string").alias("landing_url"), F.md5(F.col("p_partkey").cast("string")).alias("sha256"))
+    return dedup.candidate_order(rows.withColumn("key", stable_key())).select("k", "pos")
+
+
 # --- the pipelines ------------------------------------------------------------------------
 
 

@@ -8,7 +8,8 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -28,6 +29,28 @@ def stored(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, out: str, order: list[Column], by: list[str] | None = None) -> DataFrame:
+    """df with out, the row's number from 1 in ``order``, within each group of ``by`` if given.
+
+    Rows are dealt in ranges of (by, order) and written; each range counts its rows by group,
+    and a row's number is its place in its range plus the counts of the ranges before. No task
+    sees a whole group or table, however large.
+    """
+    groups = by or []
+    ranged = df.repartitionByRange(*groups, *order).withColumn("__range", F.spark_partition_id())
+    ranged = stored(ranged, f"{shared_dir(df.sparkSession)}/ranged")
+    counts = ranged.groupBy(*groups, "__range").agg(F.count("*").alias("__count"))
+    # a row for each range, and for each further group in it
+    before = Window.partitionBy(*groups).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*[F.col(g).alias(f"__by_{g}") for g in groups], F.col("__range").alias("__of"), F.coalesce(F.sum("__count").over(before), F.lit(0)).alias("__before"))
+    same = F.col("__range") == F.col("__of")
+    for g in groups:
+        same = same & F.col(g).eqNullSafe(F.col(f"__by_{g}"))
+    place = F.row_number().over(Window.partitionBy(*groups, "__range").orderBy(*order))
+    rows = ranged.withColumn("__place", place).join(offsets, same)
+    return rows.withColumn(out, F.col("__place") + F.col("__before")).select(*[c for c in df.columns if c != out], out)
+
+
 def ship(spark: SparkSession) -> None:
     """Send the library's modules to the Python workers, once a session."""
     sc = spark.sparkContext

@@ -10,8 +10,10 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..runtime import numbered
+
 # Columns of the manifest, in order.
-MANIFEST = "relative_path class split source source_id query title creator license license_url landing_url download_url width height sha256 phash dhash whash mirror_phash clip_positive clip_negative clip_margin".split()
+MANIFEST = ["relative_path", "class", "split", "source", "source_id", "query", "title", "creator", "license", "license_url", "landing_url", "download_url", "width", "height", "sha256", "phash", "dhash", "whash", "mirror_phash", "clip_positive", "clip_negative", "clip_margin"]
 
 
 def manifest(df: DataFrame) -> DataFrame:
@@ -46,11 +48,9 @@ def ragged_union(parts: list[DataFrame]) -> DataFrame:
 
 def contact_grid(df: DataFrame, order: list[Column], columns: int = 10) -> DataFrame:
     """df with row, col and label of a contact sheet."""
-    from pyspark.sql import Window
-
-    i = F.row_number().over(Window.orderBy(*order)) - 1
     label = F.format_string("%03d %s m=%+.3f", F.col("__i") + 1, F.substring("source", 1, 9), F.col("clip_margin"))
-    return df.withColumn("__i", i).withColumns({"row": F.floor(F.col("__i") / columns), "col": F.col("__i") % columns, "label": label}).drop("__i")
+    rows = numbered(df, "__i", order).withColumn("__i", F.col("__i") - 1)
+    return rows.withColumns({"row": F.floor(F.col("__i") / columns), "col": (F.col("__i") % columns).cast("int"), "label": label}).drop("__i")
 
 
 def checksums(spark: SparkSession, root: str, itself: str = "checksums.txt") -> DataFrame:

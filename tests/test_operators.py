@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sievekit.operators import dedup, filters, lookups, reports, selection, splits
+from sievekit.runtime import numbered
 
 
 def greedy(n, pairs):
@@ -181,3 +182,23 @@ def test_minimums():
     from sievekit.plans.pipelines import with_minimums
 
     assert with_minimums({"workers": 4, "candidates": 5000}, {"workers": 20, "candidates": 2000, "sources": 400}) == {"workers": 20, "candidates": 5000, "sources": 400}
+
+
+def test_diverse_select_in_rounds(spark):
+    rng = np.random.default_rng(4)
+    rows = [(g, i, float(rng.integers(0, 5)) / 4, rng.normal(size=6).tolist()) for g, n in (("a", 60), ("b", 7), ("c", 2)) for i in range(n)]
+    df = spark.createDataFrame(rows, "c string, pos long, quality double, embedding array<double>")
+    whole = selection.diverse_select(df, 5, "c", strict=False)
+    rounds = selection.diverse_select(df, 5, "c", strict=False, room=8)
+    assert sorted(whole.collect()) == sorted(rounds.collect()) and rounds.count() == 10
+
+
+def test_numbered(spark):
+    df = spark.createDataFrame([(i % 3 if i % 7 else None, (i * 37) % 101, i) for i in range(200)], "g int, x int, i int")
+    got = numbered(df, "n", [F.desc("x"), F.col("i")]).orderBy("n").collect()
+    assert [r.n for r in got] == list(range(1, 201)) and [(-r.x, r.i) for r in got] == sorted((-r.x, r.i) for r in got)
+    within = numbered(df, "n", [F.col("x"), F.col("i")], ["g"]).collect()
+    for g in (None, 0, 1, 2):
+        rows = sorted((r for r in within if r.g == g), key=lambda r: r.n)
+        assert [r.n for r in rows] == list(range(1, len(rows) + 1)) and [(r.x, r.i) for r in rows] == sorted((r.x, r.i) for r in rows)
+    assert numbered(df.limit(0), "n", [F.col("x")]).count() == 0
