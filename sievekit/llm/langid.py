@@ -229,6 +229,8 @@ def keep_identified(docs: DataFrame, model: Model, least: float = 0.5) -> DataFr
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every text of documents, learned from those that are not held out. Edge
+    cases are those of fit and predict."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
     model = fit(docs.filter(~held_out()))
     found = predict(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), model, keep=["doc_id"])

@@ -13,6 +13,8 @@ rate); it is broadcast while it has at most ``BROADCAST_SOURCES`` rows and joine
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +24,11 @@ from . import common
 BROADCAST_SOURCES = 100_000
 #: Rates above this use several hashes: the inversion sums one Poisson part a hash.
 PART = 16.0
+#: Copies of a document that one task makes, at most, where a rate is that high.
+CHUNK = 1000
+#: Characters of text that a partition of the mix gets, about, if there are more than the
+#: session's number of partitions would hold.
+PARTITION_CHARS = 256_000_000
 SEED = "mix-1"
 
 
@@ -75,7 +82,8 @@ def mix(docs: DataFrame, rate_table: DataFrame, seed: str = SEED) -> DataFrame:
 
     copy counts from 1; rows are ordered by shuffle_key (32 hex digits) over the whole
     result. Documents with equal doc_id and text draw alike; a null doc_id or text is hashed
-    as such and draws like any other. A rate above PART is the sum of independent draws of at most PART.
+    as such and draws like any other. A rate above PART is the sum of independent draws of at
+    most PART; with a rate above CHUNK several tasks make a document's copies.
     Columns of docs named copy or shuffle_key are replaced. An empty table stays empty.
     """
     spark = docs.sparkSession
@@ -91,20 +99,31 @@ def mix(docs: DataFrame, rate_table: DataFrame, seed: str = SEED) -> DataFrame:
     joined = joined.withColumn("__key", identity).withColumns({"__mean": rate / parts, "__u": F.transform(F.sequence(F.lit(1), parts), lambda i: uniform(F.col("__key"), i.cast("string")))})
     drawn = F.aggregate("__u", F.lit(0), lambda n, u: n + poisson(u, F.col("__mean")))
     counted = joined.withColumn("__n", F.when(F.col("__mean") > 0, drawn).otherwise(0)).filter("__n > 0")
-    copies = counted.select(*names, "__key", F.explode(F.sequence(F.lit(1), F.col("__n"))).alias("copy"))
+    # a row for each source
+    most, chars = rate_table.agg(F.max("rate"), F.sum(F.col("size") * F.col("rate")) if "size" in rate_table.columns else F.lit(0.0)).first()
+    if (most or 0.0) > CHUNK:
+        # a document's copies are dealt in chunks
+        chunks = counted.withColumn("__chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("__n") - 1) / CHUNK).cast("int"))))
+        chunks = chunks.repartition(F.xxhash64("__key", "__chunk"))
+        numbers = F.sequence(F.col("__chunk") * CHUNK + 1, F.least(F.col("__n"), (F.col("__chunk") + 1) * CHUNK))
+        copies = chunks.select(*names, "__key", F.explode(numbers).alias("copy"))
+    else:
+        copies = counted.select(*names, "__key", F.explode(F.sequence(F.lit(1), F.col("__n"))).alias("copy"))
     keyed = copies.withColumn("shuffle_key", F.md5(F.concat_ws("|", F.lit("order"), "__key", F.col("copy").cast("string")))).drop("__key")
     # keys are uniform: cutting their range evenly needs no sampling pass over the texts
-    return shuffled(keyed, spark)
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil((chars or 0.0) / PARTITION_CHARS))
+    return shuffled(keyed, n)
 
 
-def shuffled(keyed: DataFrame, spark: SparkSession) -> DataFrame:
-    """keyed in the order of shuffle_key, in partitions that cut the key's range evenly."""
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+def shuffled(keyed: DataFrame, n: int) -> DataFrame:
+    """keyed in the order of shuffle_key, in n partitions that cut the key's range evenly."""
     at = (F.conv(F.substring("shuffle_key", 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32)) * n).cast("int")
     return keyed.withColumn("__part", at).repartitionById(n, F.col("__part")).drop("__part").sortWithinPartitions("shuffle_key")
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix of documents at default rates: who is in it, in what order. Edge cases are those
+    of rates and mix."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
     found = mix(docs, rates(docs))
     return found.select("doc_id", "source", F.col("copy").cast("long").alias("copy"), "shuffle_key", F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"))

@@ -630,5 +630,6 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
 
 def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What remove_repeats leaves of documents, as sizes and a digest; edge cases are stated there."""
     found = remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return found.select("doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))

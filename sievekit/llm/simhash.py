@@ -401,7 +401,7 @@ def similar_texts(docs: DataFrame, width: int = 5, bits: int = 4, words: int = 8
     near = common.components(links(nodes, bits, reach, work, None), work).select(F.col("v").alias("fp"), "root")
     texts = table.select("t", "fp").distinct().join(near, "fp", "left").select("t", F.coalesce("root", "fp").alias("root"))
     texts = common.stored(texts, f"{work}/texts")
-    several = texts.groupBy("root").count().filter("count > 1").select("root")
+    several = common.stored(texts.groupBy("root").count().filter("count > 1").select("root"), f"{work}/roots")
     classes = common.stored(texts.join(several, "root", "left_semi"), f"{work}/several")
     exact = f"{work}/exact"
     label = common.components(alike(source.select("t", "text").dropDuplicates(["t"]), classes, width, tenths, exact, room), exact)
@@ -435,5 +435,7 @@ def drop_near_duplicates(docs: DataFrame, width: int = 5, words: int = 8, reach:
 
 
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of four-word shingles of documents and their classes at four bits. Edge
+    cases are those of near_duplicates."""
     found = near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), width=4, bits=4)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -228,6 +228,7 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
 
 
 def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best of embeddings for every twentieth vec_id; edge cases are those of whole and top_k."""
     rows = whole(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
     return top_k(rows.filter(F.col("vec_id") % 20 == 0), rows, 20)
 

@@ -337,6 +337,8 @@ def read_warc(spark: SparkSession, folder: str, payload: bool = False) -> DataFr
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the records of pages say after a round trip. A null html is an empty payload; repeated
+    rows each come out, an empty table gives no row, other columns are ignored."""
     folder = common.shared_dir(spark)
     write_warc(spark.read.parquet(f"{sf_dir}/pages.parquet"), folder)
     found = read_warc(spark, folder, payload=True)

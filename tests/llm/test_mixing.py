@@ -68,3 +68,20 @@ def test_edges(spark):
     expected = sum(brute_count(mixing.SEED, r.doc_id, r.text, table[r.source])[0] for r in df.collect())
     assert out.count() == expected and out.filter(F.col("copy") < 1).count() == 0
     assert mixing.mix(empty(spark), mixing.rates(empty(spark))).count() == 0
+
+
+def test_high_rates_in_chunks(spark, monkeypatch):
+    df = spark.createDataFrame([(i, f"text {i}", "s") for i in range(5)], "doc_id long, text string, source string")
+    table = spark.createDataFrame([("s", 40.0, 100.0)], "source string, rate double, size double")
+    plain = sorted(mixing.mix(df, table).collect())
+    monkeypatch.setattr(mixing, "CHUNK", 7)
+    assert sorted(mixing.mix(df, table).collect()) == plain
+
+
+def test_partitions_follow_the_size(spark, monkeypatch):
+    df = spark.createDataFrame([(i, "x" * 100, "s") for i in range(100)], "doc_id long, text string, source string")
+    monkeypatch.setattr(mixing, "PARTITION_CHARS", 500)
+    found = mixing.mix(df, mixing.rates(df))
+    assert found.rdd.getNumPartitions() == 20
+    keys = [r.shuffle_key for r in found.collect()]
+    assert keys == sorted(keys)
