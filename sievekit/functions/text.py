@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..runtime import ship
 
 # Word lists and per-source bonuses of the metadata score.
 FLOWER_TERMS = ["flower", "flowers", "flowering", "blossom", "blossoms", "bloom", "inflorescence", "umbel"]
@@ -68,13 +73,22 @@ def numbered_name(prefix: Column, number: Column, width: int = 3) -> Column:
 
 
 def character_entropy(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, entropy): Shannon entropy, in bits, of each row's characters; empty: 0.
+    """(id, entropy): Shannon entropy, in bits, of each row's characters; null and empty: 0.
 
-    Counts are combined before they are shuffled, so a long text moves one row a character.
+    Characters are counted where the text is: nothing is shuffled.
     """
-    chars = df.select(id_col, F.explode(F.split(F.coalesce(F.col(text_col), F.lit("")), "")).alias("__c")).filter("__c <> ''")
-    counts = chars.groupBy(id_col, "__c").agg(F.count("*").cast("double").alias("__n"))
-    # H = log2(N) - sum(n log2 n) / N
-    terms = counts.groupBy(id_col).agg(F.sum("__n").alias("__all"), F.sum(F.col("__n") * F.log2("__n")).alias("__t"))
-    found = terms.select(id_col, (F.log2("__all") - F.col("__t") / F.col("__all")).alias("entropy"))
-    return df.select(id_col).join(found, id_col, "left").select(id_col, F.coalesce("entropy", F.lit(0.0)).alias("entropy"))
+    ship(df.sparkSession)
+
+    def run(batches):
+        for batch in batches:
+            found = np.zeros(batch.num_rows)
+            for i, text in enumerate(batch.column(1)):
+                points = np.frombuffer((text.as_py() or "").encode("utf-32-le", "surrogatepass"), "<u4")
+                if len(points):
+                    n = np.unique(points, return_counts=True)[1]
+                    # H = log2(N) - sum(n log2 n) / N
+                    found[i] = np.log2(len(points)) - (n * np.log2(n)).sum() / len(points)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], [id_col, "entropy"])
+
+    source = df.select(id_col, F.col(text_col).cast("string"))
+    return source.mapInArrow(run, T.StructType([source.schema[0], T.StructField("entropy", T.DoubleType())]))

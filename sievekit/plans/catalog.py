@@ -873,7 +873,13 @@ def closed_set_pipeline(spark, sf_dir):
     return _closed(spark, sf_dir)[0].select("vec_id", "label", "place", "split", "output_name")
 
 
-@query()
+@query(
+    f"""
+WITH r AS (SELECT vec_id, label, row_number() OVER (PARTITION BY label ORDER BY md5('20|' || vec_id), CAST(vec_id AS VARCHAR)) AS i FROM embeddings),
+hidden AS (SELECT vec_id, CASE WHEN label < 2 THEN CAST(label AS VARCHAR) ELSE 'other' END AS label FROM r WHERE CASE WHEN label < 2 THEN i BETWEEN 15 AND 20 ELSE i <= 2 END)
+SELECT vec_id, 'train' AS split, CAST(label AS VARCHAR) AS label, '' AS name FROM r WHERE label < 2 AND i <= 14
+UNION ALL SELECT vec_id, 'hidden', label, 'image_' || lpad(CAST(row_number() OVER (ORDER BY md5('{20 + 99991}|' || vec_id), CAST(vec_id AS VARCHAR)) AS VARCHAR), 4, '0') || '.jpg' FROM hidden"""
+)
 def open_set_pipeline(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "label")
     identity: Column = F.col("vec_id").cast("string")

@@ -55,7 +55,7 @@ def open_set(selected: DataFrame, others: DataFrame, quotas: dict[str, int], n_o
     sample of other classes under neutral names. Leaks of labels into names are an error."""
     cut = selection.quota_split(selected, by, quotas, seed, identity).withColumn("label", F.col(by).cast("string"))
     test = cut.filter("split = 'test'")
-    sample = selection.top_per_group(others, [other_by], [identity], n_other).drop("rank")
+    sample = selection.stratified_sample(others, other_by, n_other, seed, identity).drop("rank")
     shared = [c for c in test.columns if c in sample.columns and c != "label"]
     hidden = splits.hidden_test(test.select("label", *shared), sample.select(*shared), seed + 99991, identity)
     return cut.filter("split <> 'test'"), hidden
