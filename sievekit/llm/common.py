@@ -118,8 +118,8 @@ class WordStore:
 
     Words are looked up by Python's 64-bit keyed string hash and their length, in an
     open-addressed table of numpy arrays: a lookup of many words is a few gathers. Every word
-    found is compared with the one stored, character by character; a word that shares its
-    hash with another is encoded apart.
+    found is compared with the one stored, byte by byte; a word that shares its hash with
+    another is encoded apart.
     """
 
     def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int):
@@ -127,9 +127,9 @@ class WordStore:
         self._clear()
 
     def _clear(self, room: int = 1024) -> None:
-        # used up to n words, n_ids ids and n_chars characters
+        # used up to n words, n_ids ids and n_chars bytes of words
         self.n = self.n_ids = self.n_chars = 0
-        self.pool, self.chars = np.zeros(room, np.int32), np.zeros(room, np.uint32)
+        self.pool, self.chars = np.zeros(room, np.int32), np.zeros(room, np.uint8)
         self.char_start, self.char_length = np.zeros(room, np.int64), np.zeros(room, np.int32)
         self.hash = np.zeros(room, np.uint64)
         self.start = np.zeros(room, np.int64)
@@ -176,7 +176,7 @@ class WordStore:
         h, uses = self.hash[stay], self.uses[stay] // 2
         self._clear(max(1024, len(stay)))
         self.n, self.n_ids, self.n_chars = len(stay), len(pool), len(chars)
-        self.pool, self.chars = grown(pool, 1024), grown(chars, 1024)
+        self.pool, self.chars = grown(pool, 1024), grown(chars, len(chars) + 1024)
         self.char_start[: self.n], self.char_length[: self.n] = np.cumsum(char_length) - char_length, char_length
         self.start[: self.n], self.length[: self.n], self.hash[: self.n] = np.cumsum(length) - length, length, h
         self.uses[: self.n] = uses
@@ -192,7 +192,11 @@ class WordStore:
         size = np.fromiter(map(len, words), np.int64, len(words))
         h = np.fromiter(map(hash, words), np.int64, len(words)).view(np.uint64)
         h = np.maximum(h ^ (size.astype(np.uint64) << np.uint64(40)), np.uint64(1))
-        points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4")
+        data = np.frombuffer("".join(words).encode("utf-8", "surrogatepass") + bytes(8), np.uint8)
+        start = np.r_[0, np.cumsum(size)]
+        if len(data) - 8 != start[-1]:  # not all are one byte long: where characters begin
+            start = np.r_[np.flatnonzero((data[:-8] & 0xC0) != 0x80), len(data) - 8][start]
+        start, size = start[:-1], np.diff(start)
         slot = self._find(h)
         missing = np.flatnonzero(slot < 0)
         if len(missing):
@@ -202,9 +206,9 @@ class WordStore:
                 return self.ids(words)
             new = missing[first]
             ids, length = self.encode([words[i] for i in new.tolist()])
-            chars, char_length = gathered(points, (np.cumsum(size) - size)[new], size[new])
+            chars, char_length = gathered(data, start[new], size[new])
             n, end, char_end = self.n + len(fresh), self.n_ids + len(ids), self.n_chars + len(chars)
-            self.pool, self.chars = grown(self.pool, end), grown(self.chars, char_end)
+            self.pool, self.chars = grown(self.pool, end), grown(self.chars, char_end + 8)
             self.start, self.length, self.uses, self.hash = (grown(x, n) for x in (self.start, self.length, self.uses, self.hash))
             self.char_start, self.char_length = grown(self.char_start, n), grown(self.char_length, n)
             self.start[self.n : n] = self.n_ids + np.cumsum(length) - length
@@ -220,29 +224,41 @@ class WordStore:
                 self._insert(fresh, slots)
             slot[missing] = slots[which]
         np.add.at(self.uses, slot, 1)
-        start, length = self.start[slot], self.length[slot].astype(np.int64)
-        if len(other := self._others(points, size, slot)):
+        first, length = self.start[slot], self.length[slot].astype(np.int64)
+        if len(other := self._others(data, start, size, slot)):
             apart = list(dict.fromkeys(words[i] for i in other.tolist()))
             ids, own = self.encode(apart)
             at = {w: i for i, w in enumerate(apart)}
             which = np.array([at[words[i]] for i in other.tolist()])
-            start[other], length[other] = self.n_ids + (np.cumsum(own) - own)[which], own[which]
-            return gathered(np.concatenate([self.pool[: self.n_ids], ids]), start, length)
-        return gathered(self.pool, start, length)
+            first[other], length[other] = self.n_ids + (np.cumsum(own) - own)[which], own[which]
+            return gathered(np.concatenate([self.pool[: self.n_ids], ids]), first, length)
+        return gathered(self.pool, first, length)
 
-    def _others(self, points: np.ndarray, size: np.ndarray, slot: np.ndarray) -> np.ndarray:
-        """Which words are not the word stored in their slot."""
+    def _others(self, data: np.ndarray, start: np.ndarray, size: np.ndarray, slot: np.ndarray) -> np.ndarray:
+        """Which words are not the word stored in their slot: eight bytes are compared at once."""
+        mine, stored, at = _eights(data), _eights(self.chars), self.char_start[slot]
         same = size == self.char_length[slot]
-        if same.all():
-            stored, _ = gathered(self.chars, self.char_start[slot], size)
-            wrong = np.flatnonzero(stored != points)
-            return np.unique(np.searchsorted(np.cumsum(size), wrong, side="right"))
-        ends = np.cumsum(size)
-        length = np.where(same, size, 0)
-        mine, _ = gathered(points, ends - size, length)
-        stored, _ = gathered(self.chars, self.char_start[slot], length)
-        wrong = np.searchsorted(np.cumsum(length), np.flatnonzero(stored != mine), side="right")
-        return np.unique(np.r_[np.flatnonzero(~same), wrong])
+        wrong, live = [np.flatnonzero(~same)], np.flatnonzero(same)
+        for k in range(0, 64, 8):
+            if not len(live):
+                break
+            left = size[live] - k
+            differ = (mine[start[live] + k] ^ stored[at[live] + k]) & _LOW[np.minimum(left, 8)] != 0
+            wrong.append(live[differ])
+            live = live[~differ & (left > 8)]
+        for i in live.tolist():
+            if not np.array_equal(data[start[i] : start[i] + size[i]], self.chars[at[i] : at[i] + size[i]]):
+                wrong.append(np.array([i]))
+        return np.concatenate(wrong)
+
+
+#: Masks of the first n of eight bytes.
+_LOW = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
+def _eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from every place on, as one number."""
+    return np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
 
 
 def grown(x: np.ndarray, n: int) -> np.ndarray:
