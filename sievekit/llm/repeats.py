@@ -7,9 +7,11 @@ document with a smaller id, or earlier in the same one. Strings are judged on th
    are its anchors. Equal windows have equal anchors at equal places, so a window can only
    repeat among the occurrences of its anchor's gram. An anchor's context is what all
    windows around it can cover: LENGTH - GRAM bytes before it and LENGTH bytes from it on.
-2. Grams meet (one hash and place an anchor, packed in columns). Of equal contexts all but
-   the first are repeated whole. Contexts of a gram that has several different ones are
-   undecided: these stretches of text, each different one once, are what is indexed.
+2. Grams meet (one hash and place an anchor, packed in columns). Within a slice of texts all
+   but the first of equal contexts (by hash) are repeated whole. What is left of a gram that
+   several places have is indexed: its different contexts, once each, together; and the
+   copies of a context, in groups of bounded size that each hold the first one as well. Of a
+   document's copies as many are taken as cover the windows of all.
 3. Index. A shard's contexts, whole grams at a time, are concatenated; their Burrows-Wheeler
    transform is cut into runs, and suffix positions are sampled at the run ends. Match
    lengths of neighbouring suffixes are computed at the sampled ends alone and streamed from
@@ -46,6 +48,8 @@ CHARS = 500_000
 INDEX_BYTES = 400_000
 #: Different contexts of one gram that are indexed together, at most.
 MAX_CONTEXTS = 20_000
+#: Copies of one context that are indexed together, at most.
+MAX_COPIES = 2000
 #: A gram is hot from so many places on; bytes of documents that are sampled to find out;
 #: bytes of input from which that is done; hot grams, at most.
 HOT_CONTEXTS = 1_000_000
@@ -366,7 +370,7 @@ def _rows(out: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(shards, pa.int32()), pa.array(kinds, pa.int32()), pa.array(blobs, pa.binary())], ["shard", "kind", "data"])
 
 
-#: Kinds of blobs: anchors by gram or undecided contexts by document; repeated stretches;
+#: Kinds of blobs: anchors by gram or contexts to index by document; repeated stretches;
 #: windows of hot grams.
 ANCHORS, STRETCHES, WINDOWS = 0, 1, 2
 _BLOBS = "shard int, kind int, data binary"
@@ -438,8 +442,8 @@ def find_anchors(rows: DataFrame, n: int, hot: np.ndarray) -> DataFrame:
 
 
 def meet(found: DataFrame, n: int) -> DataFrame:
-    """(shard, kind, data) by document: repeated stretches (key, start, end), and undecided
-    contexts (gram, key, place, begin, end)."""
+    """(shard, kind, data) by document: repeated stretches (key, start, end), and contexts to
+    index (group, key, place, begin, end, whether it is a copy)."""
 
     def run(batches):
         blobs, out = {ANCHORS: [], WINDOWS: []}, []
@@ -460,15 +464,48 @@ def meet(found: DataFrame, n: int) -> DataFrame:
         gram, context, key, place, begin, end = (c[order] for c in (gram, context, key, place, begin, end))
         first, again = first_of(continues(gram, context), key, place)
         group = np.cumsum(~continues(gram)) - 1
-        undecided = first & (np.bincount(group, first)[group] > 1) if len(group) else first
-        out += [(shard, STRETCHES, blob) for shard, blob in _stretches(key[again], begin[again], end[again], n)]
-        out += [(shard, ANCHORS, blob) for shard, blob in dealt(document_shard(key[undecided], n), [c[undecided] for c in (gram, key, place, begin, end)])]
+        undecided = np.flatnonzero(first & (np.bincount(group, first)[group] > 1)) if len(group) else np.flatnonzero(first)
+        row, name, copy = copies_of(first, again, gram, context)
+        row, name = np.r_[undecided, row], np.r_[gram[undecided], name]
+        copy = np.r_[np.zeros(len(undecided), bool), copy]
+        out += [(shard, ANCHORS, blob) for shard, blob in dealt(document_shard(key[row], n), [name, *(c[row] for c in (key, place, begin, end)), copy])]
         for lo in range(0, len(out), 64):
             yield _rows(out[lo : lo + 64])
 
     return found.repartitionById(n, F.col("shard")).mapInArrow(run, _BLOBS)
 
 
+def copies_of(first: np.ndarray, again: np.ndarray, gram: np.ndarray, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, group, whether it is a copy): the copies of every context in groups of at most
+    MAX_COPIES, and with each group the context's first row."""
+    copy = np.flatnonzero(again)
+    leader = np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))[copy]
+    new = np.r_[True, leader[1:] != leader[:-1]][: len(copy)]
+    start = np.flatnonzero(new)
+    part = (np.arange(len(copy)) - np.repeat(start, np.diff(np.r_[start, len(copy)]))) // MAX_COPIES
+    name = mixed(mixed(gram[copy].astype(np.uint64) + np.uint64(_BASE)) ^ context[copy].astype(np.uint64)) + part.astype(np.uint64)
+    lead = np.flatnonzero(new | np.r_[True, part[1:] != part[:-1]][: len(copy)])
+    return np.r_[copy, leader[lead]], mixed(np.r_[name, name[lead]]), np.r_[np.ones(len(copy), bool), np.zeros(len(lead), bool)]
+
+
+def covering(place: np.ndarray) -> np.ndarray:
+    """Which of a document's contexts, sorted by place, hold the windows of all of them. The
+    windows of a context start at its place or up to LENGTH - GRAM bytes before."""
+    stay = np.zeros(len(place), bool)
+    at, reach = -1, -1
+    for i, p in enumerate(place.tolist()):
+        if at >= 0 and p - (LENGTH - GRAM) > reach + 1:
+            # a gap begins after the context before: that one stays
+            stay[at] = True
+            reach = int(place[at])
+        if at < 0 or p - (LENGTH - GRAM) > reach + 1:
+            stay[i], reach = True, p
+        at = i
+    if at >= 0:
+        stay[at] = True
+    return stay
+
+
 def _stretches(key: np.ndarray, start: np.ndarray, end: np.ndarray, n: int) -> Iterator[tuple[int, bytes]]:
     stretch = merged(key, start, end)
     return dealt(document_shard(stretch[0], n), list(stretch))
@@ -501,14 +538,18 @@ def documents_in(table: pa.Table) -> Iterator[tuple[int, int | None, bytes]]:
 
 
 def take_contexts(texts: DataFrame, undecided: DataFrame, n: int) -> DataFrame:
-    """(shard, data) by gram: contexts (gram, key, place, begin, end) and their bytes."""
+    """(shard, data) by group: contexts (group, key, place, begin, end) and their bytes."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        gram, key, place, begin, end = joined(right["data"].to_pylist(), 5)
+        gram, key, place, begin, end, copy = joined(right["data"].to_pylist(), 6)
         out = []
         if len(key):
-            order = np.argsort(key, kind="stable")
-            gram, key, place, begin, end = (c[order] for c in (gram, key, place, begin, end))
+            order = np.lexsort((place, copy, key))
+            gram, key, place, begin, end, copy = (c[order] for c in (gram, key, place, begin, end, copy))
+            stay = ~copy
+            for own in np.split(np.flatnonzero(copy), np.flatnonzero(np.diff(key[copy])) + 1):
+                stay[own] = covering(place[own])
+            gram, key, place, begin, end = (c[stay] for c in (gram, key, place, begin, end))
             pieces, rows, seen = [], [], set()
             for k, _, text in documents_in(left):
                 a, b = np.searchsorted(key, k, "left"), np.searchsorted(key, k, "right")
@@ -539,8 +580,8 @@ def _pressed(data: bytes) -> bytes:
 def mark(contexts: DataFrame, n: int) -> DataFrame:
     """(shard, kind, data) by document: stretches (key, start, end) that the index marks."""
 
-    def search(text, size, gram, key, place, begin):
-        """Whole grams at a time, as many as fit an index."""
+    def search(text, starts, size, gram, key, place, begin):
+        """Whole groups at a time, as many as fit an index."""
         first = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]])
         last = np.r_[first[1:], len(gram)]
         ends = np.cumsum(size)
@@ -552,7 +593,7 @@ def mark(contexts: DataFrame, n: int) -> DataFrame:
             while not big and hi < len(first) and ends[last[hi] - 1] - base <= INDEX_BYTES:
                 hi += 1
             a, b = first[lo], last[hi - 1]
-            part, stops = text[base : ends[b - 1]], ends[a:b] - base
+            part, stops = common.gathered(text, starts[a:b], size[a:b])[0], ends[a:b] - base
             if big:
                 who, start, end = place_by_place(part, stops, key[a:b], begin[a:b], (place - begin)[a:b])
             else:
@@ -573,11 +614,15 @@ def mark(contexts: DataFrame, n: int) -> DataFrame:
         size = end - begin
         starts = np.cumsum(size) - size
         order = np.lexsort((begin, key, gram))
+        # first ones whose copies were all left out stand alone
+        alone = ~continues(gram[order])
+        alone[:-1] &= alone[1:]
+        order = order[~alone]
+        if not len(order):
+            return
         text = np.frombuffer(b"".join(texts), np.uint8)
         gram, key, place, begin, size, starts = (c[order] for c in (gram, key, place, begin, size, starts))
-        stops = np.cumsum(size)
-        text = text[np.repeat(starts - (stops - size), size) + np.arange(int(stops[-1]))]
-        parts = list(search(text, size, gram, key, place, begin))
+        parts = list(search(text, starts, size, gram, key, place, begin))
         stretch = [np.concatenate(x) for x in zip(*parts, strict=True)]
         for shard, blob in _stretches(*stretch, n):
             yield _rows([(shard, STRETCHES, blob)])
