@@ -185,38 +185,55 @@ class RunLengthIndex:
     heads: where in the transform's order a run begins. sample_first and sample_before: the
     text places of the suffixes at each run's first row and at the row before it, the last
     of the run above. A text's first suffix has no character before it and ends every run.
+
+    Suffixes of fewer than ``least`` bytes are left out. Match lengths of ``least`` and more are
+    those of the whole transform: a suffix that is left out and stands between two others can
+    only make a streamed length too large that is below ``least``.
     """
 
-    def __init__(self, text: np.ndarray, ends: np.ndarray):
+    def __init__(self, text: np.ndarray, ends: np.ndarray, least: int = 1):
         n = len(text)
         starts = np.r_[0, ends[:-1]]
         self.end = np.repeat(ends, ends - starts)
         place = np.arange(n)
+        room = self.end - place
+
+        def further(x: np.ndarray, k: int) -> np.ndarray:
+            """x of the place k bytes on, 0 beyond the text's end."""
+            out = np.zeros(n, np.int64)
+            out[: max(n - k, 0)] = x[k:]
+            out[room <= k] = 0
+            return out
+
         # as many symbols in a word as fit; beyond a text's end lies the smallest symbol
-        used, code = np.unique(text, return_inverse=True)
-        symbol = np.r_[code.astype(np.int64) + 1, np.zeros(64, np.int64)]
-        self.base = len(used) + 1
+        used = np.bincount(text, minlength=256) > 0
+        symbol = np.cumsum(used)[text]
+        self.base = int(used.sum()) + 1
         self.width = next(w for w in range(63, 0, -1) if self.base**w < 2**63)
-        self.word = np.zeros(n, np.int64)
-        for j in range(self.width):
-            self.word *= self.base
-            self.word += np.where(place + j < self.end, symbol[j : j + n], 0)
-        rank, self.order = _dense(self.word)
+        self.word, size = symbol, 1
+        for bit in f"{self.width:b}"[1:]:
+            self.word, size = self.word * self.base**size + further(self.word, size), 2 * size
+            if bit == "1":
+                self.word, size = self.word * self.base + further(symbol, size), size + 1
+        rank, _ = _dense(self.word)
         width, longest = self.width, int((ends - starts).max(initial=0))
-        while width < longest and n and rank.max() < n - 1:
-            further = np.zeros(n, np.int64)
-            inside = np.flatnonzero(place + width < self.end)
-            further[inside] = rank[inside + width] + 1
-            rank, self.order = _dense(rank * (n + 1) + further)
-            width *= 2
+        rows = np.flatnonzero(room >= least)
+        # as many ranks in a key as fit; in the last round only the rows that are asked for
+        each = 3 if (n + 1) ** 3 < 2**63 else 2
+        while width < longest and len(rank) == n and rank.max() < n - 1:
+            key = rank
+            for j in range(1, each):
+                key = key * (n + 1) + further(rank + 1, j * width)
+            width *= each
+            rank, _ = _dense(key if width < longest else key[rows])
+        if len(rank) != len(rows):
+            rank = rank[rows]
         # equal to their ends: in the order of their places
-        tied = np.bincount(rank, minlength=n)[rank[self.order]] > 1
-        ties = self.order[tied]
-        self.order[tied] = ties[np.lexsort((ties, rank[ties]))]
-        before = np.where(place == np.repeat(starts, ends - starts), 0, np.r_[0, symbol[: n - 1]] if n else place)[self.order]
-        self.heads = np.flatnonzero(np.r_[True, (before[1:] != before[:-1]) | (before[1:] == 0)])
+        self.order = np.sort(rank * n + rows) % n if n else rows
+        before = np.where(room[self.order - 1] == 1, 0, symbol[self.order - 1]) if n else rows
+        self.heads = np.flatnonzero(np.r_[True, (before[1:] != before[:-1]) | (before[1:] == 0)][: len(rows)])
         self.sample_first, self.sample_before = self.order[self.heads], self.order[self.heads - 1]
-        self.sample_before[0] = -1
+        self.sample_before[:1] = -1
 
     def common_prefix(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Bytes in which the suffixes at a and b agree, word by word."""
@@ -241,7 +258,7 @@ class RunLengthIndex:
     def match_lengths(self) -> np.ndarray:
         """For every place, the bytes it shares with the suffix sorted before it, streamed
         along the text from the sampled run ends."""
-        n = len(self.order)
+        n = len(self.end)
         sampled = np.zeros(n, np.int64)
         at = np.zeros(n, np.int64)
         sampled[self.sample_first] = self.common_prefix(self.sample_first, self.sample_before)
@@ -287,7 +304,7 @@ def indexed(text: np.ndarray, ends: np.ndarray, key: np.ndarray, start: np.ndarr
     owner = np.repeat(np.arange(len(ends)), ends - begins)
     shift = (start - begins)[owner]
     when = (_dense(key)[0][owner] << 32) + np.arange(len(text)) + shift
-    places = RunLengthIndex(text, ends).later_repeats(when)
+    places = RunLengthIndex(text, ends, LENGTH).later_repeats(when)
     return runs_of(places, owner[places], shift[places])
 
 

@@ -86,6 +86,49 @@ def test_index():
     assert len(index.heads) < len(text)
 
 
+@pytest.mark.parametrize("seed", range(20))
+def test_index_of_long_suffixes(seed):
+    rng = np.random.default_rng(seed)
+    base = bytes(rng.integers(97, 99, 400))
+    cuts = [(int(a), int(a + n)) for a, n in zip(rng.integers(0, 300, 30), rng.integers(1, 250, 30), strict=True)]
+    texts = [base[a:b] for a, b in cuts] + [b"a" * 160, b"a" * 130, b"ab" * 90]
+    text, ends = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([len(t) for t in texts])
+    when = rng.permutation(len(text))
+    index = repeats.RunLengthIndex(text, ends, 100)
+    starts = ends - [len(t) for t in texts]
+    windows = [(int(when[p]), p, bytes(text[p : p + 100])) for a, b in zip(starts, ends, strict=True) for p in range(a, b - 99)]
+    first = {}
+    for w, _, string in windows:
+        first[string] = min(w, first.get(string, w))
+    assert index.later_repeats(when).tolist() == sorted(p for w, p, string in windows if w > first[string])
+    assert len(index.order) == len(windows)
+
+
+def test_index_of_nothing():
+    index = repeats.RunLengthIndex(np.frombuffer(b"abcab", np.uint8), np.array([3, 5]), 100)
+    assert not len(index.later_repeats(np.arange(5)))
+
+
+def test_covering_contexts():
+    rng = np.random.default_rng(1)
+    for _ in range(500):
+        place = np.sort(rng.choice(900, rng.integers(1, 40), replace=False))
+        stay = repeats.covering(place)
+        starts = [{s for p in some.tolist() for s in range(p - 60, p + 1)} for some in (place, place[stay])]
+        assert starts[0] == starts[1]
+    assert repeats.covering(np.arange(0, 300, 10)).sum() < 10
+    assert not len(repeats.covering(np.zeros(0, np.int64)))
+
+
+@pytest.mark.parametrize("most", [1, 3])
+def test_many_copies(spark, most, monkeypatch):
+    monkeypatch.setattr(repeats, "MAX_COPIES", most)
+    monkeypatch.setattr(repeats, "CHARS", 1500)
+    docs = fixture(most)
+    docs += [(200 + i, docs[i % 3 + 4][1]) for i in range(30)]
+    assert run(spark, docs) == brute(docs)
+
+
 def test_anchors_are_shared():
     rng = np.random.default_rng(9)
     passage = rng.integers(97, 123, 400).astype(np.uint8)
