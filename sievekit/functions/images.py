@@ -32,6 +32,50 @@ def fitted(width: int, height: int, longest: int = 1280) -> tuple[int, int]:
     return max(1, round(width * scale)), max(1, round(height * scale))
 
 
+def enlarged(width: int, height: int, least: int) -> tuple[int, int]:
+    """Size after enlarging the shorter side to ``least``, if it is below."""
+    scale = max(1.0, least / max(min(width, height), 1))
+    return max(1, round(width * scale)), max(1, round(height * scale))
+
+
+def orientation(content: bytes) -> int:
+    """The orientation (1 to 8) that a JPEG file's metadata names; 1 where there is none."""
+    at = 2
+    while content[:2] == b"\xff\xd8" and at + 4 <= len(content) and content[at] == 0xFF and content[at + 1] not in (0xDA, 0xD9):
+        size = int.from_bytes(content[at + 2 : at + 4], "big")
+        body = content[at + 4 : at + 2 + size]
+        if content[at + 1] == 0xE1 and body[:6] == b"Exif\0\0" and body[6:8] in (b"II", b"MM"):
+            tiff, order = body[6:], "little" if body[6:8] == b"II" else "big"
+            start = int.from_bytes(tiff[4:8], order)
+            for i in range(int.from_bytes(tiff[start : start + 2], order)):
+                entry = tiff[start + 2 + 12 * i : start + 14 + 12 * i]
+                if int.from_bytes(entry[:2], order) == 0x0112:
+                    value = int.from_bytes(entry[8:10], order)
+                    return value if 1 <= value <= 8 else 1
+        at += 2 + max(size, 2)
+    return 1
+
+
+def turned(a: np.ndarray, orientation: int) -> np.ndarray:
+    """The image as its orientation says it is to be seen."""
+    if orientation >= 5:
+        a = a.transpose(1, 0, 2)
+    if orientation in (2, 3, 6, 7):
+        a = a[:, ::-1]
+    if orientation in (3, 4, 7, 8):
+        a = a[::-1]
+    return a
+
+
+def prepared(a: np.ndarray, longest: int = 1280, least: int | None = None) -> np.ndarray:
+    """Shrunk to ``longest`` and, if ``least`` is given, with its shorter side enlarged to it."""
+    h, w = a.shape[:2]
+    size = fitted(w, h, longest)
+    if least is not None:
+        size = enlarged(*size, least)
+    return a if size == (w, h) else np.clip(np.rint(resized(a, *size)), 0, 255).astype(np.uint8)
+
+
 def rgb(image) -> np.ndarray:
     """(height, width, 3) of an image row; gray is repeated, alpha goes."""
     a = np.frombuffer(image["data"], np.uint8).reshape(image["height"], image["width"], image["nChannels"])

@@ -65,6 +65,11 @@ def at_least(df: DataFrame, needed: int, what: str = "rows") -> DataFrame:
     return df
 
 
+def short_groups(df: DataFrame, by: str, needed: int) -> DataFrame:
+    """(by, n) of the groups with fewer than needed rows."""
+    return df.groupBy(by).agg(F.count("*").alias("n")).filter(F.col("n") < needed)
+
+
 def ranked(df: DataFrame, order: list[Column], n: int) -> DataFrame:
     """The first n rows of an order, with their rank from 1."""
     return df.withColumn("rank", F.row_number().over(Window.orderBy(*order))).filter(F.col("rank") <= n)

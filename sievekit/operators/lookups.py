@@ -16,6 +16,12 @@ def lookup_side(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
+def with_settings(rows: DataFrame, settings: DataFrame, by: str) -> DataFrame:
+    """rows with the settings of their class (one row a class); rows of a class without
+    settings go."""
+    return rows.join(lookup_side(settings), by)
+
+
 def index_credits(credits: DataFrame, extensions: tuple[str, ...] = (".jpg", ".jpeg", ".png")) -> DataFrame:
     """(key, fields): a credits table's rows by each image file that a cell names, under its
     base name and its stem; the row with the smallest ord wins.

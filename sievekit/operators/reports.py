@@ -54,6 +54,13 @@ def violations(df: DataFrame, by: str, count: int, splits: dict[str, int], min_s
     return reduce(DataFrame.unionByName, out)
 
 
+def unfit_images(images: DataFrame, min_side: int = 180) -> DataFrame:
+    """(rule, subject, found) of image files that cannot be read, are not of three channels or
+    are too small. images: path and image, as files.decoded_images gives them."""
+    bad = F.when(F.col("image.height") <= 0, "unreadable").when(F.col("image.nChannels") != 3, "not_rgb").when(F.least("image.width", "image.height") < min_side, "small_side")
+    return images.select(bad.alias("rule"), F.col("path").alias("subject"), F.lit(1).cast("long").alias("found")).filter("rule is not null")
+
+
 def missing_classes(df: DataFrame, by: str, classes: DataFrame) -> DataFrame:
     absent = classes.select(by).join(df.select(by), by, "left_anti")
     return absent.select(F.lit("class_missing").alias("rule"), F.col(by).cast("string").alias("subject"), F.lit(0).cast("long").alias("found"))

@@ -6,12 +6,17 @@ size is checked.
 
 from __future__ import annotations
 
+import importlib
 from typing import Protocol
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import vectors
+from ..runtime import ship
 from .lookups import lookup_side
 
 #: Prompts up to which they are collected and broadcast inside the plan.
@@ -26,6 +31,43 @@ class Encoder(Protocol):
     def encode_images(self, images: DataFrame) -> DataFrame: ...
 
 
+def encoded(df: DataFrame, column: str, encoder: str, out: str = "embedding", size: int = 32) -> DataFrame:
+    """df with ``out``, the normalised vector (array<float>) of a column, by a model on the
+    executors.
+
+    encoder: "module:function"; the function takes nothing and returns a model, once a worker,
+    whose ``encode`` takes a list of at most ``size`` values that are not null and returns a
+    vector for each. A null value has a null vector.
+    """
+    ship(df.sparkSession)
+    schema = T.StructType([*[f for f in df.schema.fields if f.name != out], T.StructField(out, T.ArrayType(T.FloatType()))])
+    others = [f.name for f in schema.fields[:-1]]
+    rows = df.select(*others, F.col(column).alias("__value"))
+
+    def run(batches):
+        module, _, name = encoder.partition(":")
+        model = getattr(importlib.import_module(module), name)()
+        for batch in batches:
+            values = batch.column(len(others)).to_pylist()
+            at, found = [i for i, v in enumerate(values) if v is not None], [None] * len(values)
+            for lo in range(0, len(at), size):
+                part = at[lo : lo + size]
+                unit = np.asarray(model.encode([values[i] for i in part]), np.float64)
+                unit = unit / (np.linalg.norm(unit, axis=1, keepdims=True) + vectors.FLOOR)
+                for i, v in zip(part, unit.tolist(), strict=True):
+                    found[i] = v
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(others)], pa.array(found, pa.list_(pa.float32()))], [*others, out])
+
+    return rows.mapInArrow(run, schema)
+
+
+class LetterCounts:
+    """A stand-in for a text model: how often each of a few letters occurs."""
+
+    def encode(self, values: list[str]) -> list[list[float]]:
+        return [[float(v.count(x)) for x in "aeiou"] for v in values]
+
+
 def prompt_list(prompts: DataFrame, vector: str = "embedding", order: str = "ord") -> list[list[float]]:
     """The prompts' normalised vectors; more than MAX_PROMPTS is an error."""
     rows = prompts.select(vectors.normalized(vectors.doubles(F.col(vector))).alias("v"), F.col(order).alias("o")).orderBy("o").limit(MAX_PROMPTS + 1).collect()

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import html, images, license, text, vectors
 from ..operators import dedup, filters, lookups, reports, scoring, selection, splits
+from ..runtime import shared_dir, stored
 from ..schema import seeded_order, stable_key, url_key
 from ..sources import api, files, sinks
 from . import pipelines
@@ -855,6 +856,72 @@ def candidate_order(spark, sf_dir):
     return dedup.candidate_order(rows.withColumn("key", stable_key())).select("k", "pos")
 
 
+@query(
+    f"""
+WITH d AS (SELECT *, CAST(floor(k / 40) AS INT) AS page FROM ({_DETAILS})), n AS (SELECT n_nationkey FROM nation WHERE n_regionkey = 1)
+SELECT class_name, source, CASE WHEN page % 3 = 0 THEN 'r1' ELSE 'n' || (page % 25) END AS query, image_url, landing_url, title, creator, license, license_url, source_id
+FROM d WHERE ({_OPEN_RULE.replace('terms', 'license')}) AND k % 4 <> 0 AND (page % 3 = 0 OR page % 25 IN (SELECT n_nationkey FROM n))"""
+)
+def scan_category(spark, sf_dir):
+    details = _details(spark, sf_dir)
+    own = details.select(F.concat(F.lit("n"), (F.col("page") % 25).cast("string")).alias("node"), "page", "body")
+    bodies = own.union(details.filter("page % 3 = 0").select(F.lit("r1"), "page", "body"))
+    walked = lookups.walk(_edges(spark, sf_dir), spark.createDataFrame([("r1",)], "node string"), 2)
+    return api.category_files(walked, bodies, "c").select("query", *_FOUND)
+
+
+# --- files and settings -------------------------------------------------------------------
+
+
+@query("SELECT 'p/' || page_id || '.html' AS path, sha256(coalesce(html, '')) AS sha256 FROM pages")
+def written_checksums(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select(F.format_string("p/%d.html", "page_id").alias("name"), F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("content"))
+    work = shared_dir(spark)
+    stored(sinks.write_files(pages, f"{work}/files"), f"{work}/written")
+    return sinks.checksums(spark, f"{work}/files").select("path", "sha256")
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents")
+def review_pool(spark, sf_dir):
+    work = f"{shared_dir(spark)}/pool"
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("lang", F.lit("")).alias("class_name"), "source", F.col("lang"))
+    sinks.write_csv(rows, work, ["class_name"])
+    back = spark.read.schema("doc_id string, source string, lang string, class_name string").option("header", "true").csv(work)
+    return back.select("doc_id", F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"))
+
+
+@query("SELECT name, greatest(value, least) AS value FROM (SELECT unnest(['per_class', 'limit', 'pool']) AS name, unnest([(SELECT count(*) FROM region), (SELECT count(*) FROM nation), 0]) AS value, unnest([100, 7, 300]) AS least)")
+def minimum_settings(spark, sf_dir):
+    given = {"per_class": table(spark, sf_dir, "region").count(), "limit": table(spark, sf_dir, "nation").count()}
+    settings = pipelines.with_minimums(given, {"per_class": 100, "limit": 7, "pool": 300})
+    return spark.createDataFrame(list(settings.items()), "name string, value long")
+
+
+@query("SELECT p_brand, count(*) AS n FROM part GROUP BY p_brand HAVING count(*) < (SELECT count(*) / 25 FROM part)")
+def short_classes(spark, sf_dir):
+    part = table(spark, sf_dir, "part")
+    return filters.short_groups(part, "p_brand", -(-part.count() // 25))
+
+
+_PROMPTED = ["en", "de", "fr"]
+
+
+@query(f"SELECT doc_id, lang, 'a text in ' || lang AS prompt, 100 + 1009 * (list_position({sql_list(_PROMPTED)}, lang) - 1) AS seed FROM documents WHERE lang IN {in_list(_PROMPTED)}")
+def class_settings(spark, sf_dir):
+    settings = spark.createDataFrame([(x, f"a text in {x}", 100 + 1009 * i) for i, x in enumerate(_PROMPTED)], "lang string, prompt string, seed long")
+    return lookups.with_settings(table(spark, sf_dir, "documents").select("doc_id", "lang"), settings, "lang")
+
+
+_VOWELS = ", ".join(f"CAST(length(text) - length(replace(text, '{x}', '')) AS DOUBLE)" for x in "aeiou")
+
+
+@query(f"WITH v AS (SELECT doc_id, [{_VOWELS}] AS v FROM documents WHERE text IS NOT NULL), u AS (SELECT doc_id, v, sqrt(list_sum([x * x for x in v])) + 1e-12 AS l FROM v) SELECT doc_id, round(CAST(CAST(v[1] / l AS FLOAT) AS DOUBLE), 5) AS a, round(CAST(CAST(v[5] / l AS FLOAT) AS DOUBLE), 5) AS u FROM u UNION ALL SELECT doc_id, NULL, NULL FROM documents WHERE text IS NULL")
+def batch_encoder(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = scoring.encoded(docs, "text", "sievekit.operators.scoring:LetterCounts")
+    return found.select("doc_id", *[F.round(F.get("embedding", F.lit(i)).cast("double"), 5).alias(n) for n, i in (("a", 0), ("u", 4))])
+
+
 # --- the pipelines ------------------------------------------------------------------------
 
 
@@ -873,21 +940,38 @@ def closed_set_pipeline(spark, sf_dir):
     return _closed(spark, sf_dir)[0].select("vec_id", "label", "place", "split", "output_name")
 
 
-@query(
-    f"""
+_OPEN_SET = f"""
 WITH r AS (SELECT vec_id, label, row_number() OVER (PARTITION BY label ORDER BY md5('20|' || vec_id), CAST(vec_id AS VARCHAR)) AS i FROM embeddings),
 hidden AS (SELECT vec_id, CASE WHEN label < 2 THEN CAST(label AS VARCHAR) ELSE 'other' END AS label FROM r WHERE CASE WHEN label < 2 THEN i BETWEEN 15 AND 20 ELSE i <= 2 END)
 SELECT vec_id, 'train' AS split, CAST(label AS VARCHAR) AS label, '' AS name FROM r WHERE label < 2 AND i <= 14
 UNION ALL SELECT vec_id, 'hidden', label, 'image_' || lpad(CAST(row_number() OVER (ORDER BY md5('{20 + 99991}|' || vec_id), CAST(vec_id AS VARCHAR)) AS VARCHAR), 4, '0') || '.jpg' FROM hidden"""
-)
-def open_set_pipeline(spark, sf_dir):
+
+
+def _open(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "label")
     identity: Column = F.col("vec_id").cast("string")
-    train, hidden = pipelines.open_set(rows.filter("label < 2"), rows.filter("label >= 2"), {"train": 14, "test": 6}, 2, 20, "label", "label", identity)
+    return pipelines.open_set(rows.filter("label < 2"), rows.filter("label >= 2"), {"train": 14, "test": 6}, 2, 20, "label", "label", identity)
+
+
+@query(_OPEN_SET)
+def open_set_pipeline(spark, sf_dir):
+    train, hidden = _open(spark, sf_dir)
     part = train.select("vec_id", F.col("split"), F.col("label").cast("string").alias("label"), F.lit("").alias("name"))
     return part.union(hidden.select("vec_id", F.lit("hidden"), "label", "name"))
 
 
+@query(
+    f"""
+WITH o AS ({_OPEN_SET}), f AS (SELECT 'distinct' AS what, 56 AS expected, count(DISTINCT vec_id) AS found FROM o
+UNION ALL SELECT 'in_both_parts', 0, (SELECT count(*) FROM (SELECT vec_id FROM o WHERE split = 'train' INTERSECT SELECT vec_id FROM o WHERE split = 'hidden'))
+UNION ALL SELECT 'hidden_rows', 28, count(*) FROM o WHERE split = 'hidden' UNION ALL SELECT 'names_twice', 0, (SELECT count(*) FROM (SELECT name FROM o WHERE split = 'hidden' GROUP BY name HAVING count(*) > 1)))
+SELECT what, expected::BIGINT AS expected, found::BIGINT AS found, found = expected AS ok FROM f"""
+)
+def open_set_invariants(spark, sf_dir):
+    train, hidden = _open(spark, sf_dir)
+    return pipelines.open_set_invariants(train, hidden, "vec_id", 56, 28)
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Funnel of the closed-set pipeline: rows of each class after each stage."""
     return _closed(spark, sf_dir)[1]

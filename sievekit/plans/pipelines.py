@@ -61,6 +61,17 @@ def open_set(selected: DataFrame, others: DataFrame, quotas: dict[str, int], n_o
     return cut.filter("split <> 'test'"), hidden
 
 
+def open_set_invariants(train: DataFrame, hidden: DataFrame, key: str, distinct: int, test_rows: int) -> DataFrame:
+    """(what, expected, found, ok): different keys in both parts, keys in both at once, rows
+    of the hidden test and names given twice in it."""
+    keys = train.select(key).unionByName(hidden.select(key))
+    twice = hidden.groupBy("name").count().filter("count > 1")
+    both = train.select(key).join(hidden.select(key), key, "left_semi")
+    found = [("distinct", distinct, keys.distinct()), ("in_both_parts", 0, both), ("hidden_rows", test_rows, hidden), ("names_twice", 0, twice)]
+    parts = [df.agg(F.count("*").alias("found")).select(F.lit(what).alias("what"), F.lit(n).cast("long").alias("expected"), "found", (F.col("found") == n).alias("ok")) for what, n, df in found]
+    return _union(parts)
+
+
 def with_minimums(settings: dict[str, int], least: dict[str, int]) -> dict[str, int]:
     """Settings raised to their minimums; a setting that is not given takes its minimum."""
     return settings | {name: max(settings.get(name, value), value) for name, value in least.items()}

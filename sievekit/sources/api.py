@@ -11,6 +11,9 @@ from __future__ import annotations
 import importlib
 import json
 import time
+import urllib.error
+import urllib.parse
+import urllib.request
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -41,6 +44,25 @@ class Retry:
         return min(most, factor * 2**a)
 
 
+#: Retries of the open-set scans' JSON requests; a server's error is a failure like any other.
+OPEN_SET_RETRY = Retry(5, (2.0, float("inf")), (1.0, 10.0), (1.0, 10.0))
+
+
+def http_fetch(params: dict) -> tuple[int, str]:
+    """GET params["url"] with params["query"], a page's parameter named by params["page_name"]
+    (without it the page goes nowhere); the status and the body."""
+    query = dict(params.get("query", {}))
+    if "page_name" in params:
+        query[params["page_name"]] = params["page"]
+    url = params["url"] + ("?" + urllib.parse.urlencode(query) if query else "")
+    headers = {"User-Agent": params.get("agent", "sievekit/1"), "Accept": params.get("accept", "application/json")}
+    try:
+        with urllib.request.urlopen(urllib.request.Request(url, headers=headers), timeout=float(params.get("timeout", 35))) as answer:
+            return answer.status, answer.read().decode("utf-8", "replace")
+    except urllib.error.HTTPError as e:
+        return e.code, ""
+
+
 def fetch_with_retry(fetch: Callable[[dict], tuple[int, str]], params: dict, retry: Retry, sleep: Callable[[float], None] = time.sleep) -> str:
     """The body of the first answer below 400; an error after the last attempt."""
     problem: object = None
@@ -123,12 +145,12 @@ def _filled(*values: Column) -> Column:
     return F.coalesce(*[F.nullif(v, F.lit("")) for v in values], F.lit(""))
 
 
-def _candidates(rows: DataFrame, class_name: str, source: str, query: str, rule: str, limit: int | None, order: list[str], **fields: Column) -> DataFrame:
+def _candidates(rows: DataFrame, class_name: str, source: str, query: str, rule: str, limit: int | None, order: list[str], keep: tuple[str, ...] = (), **fields: Column) -> DataFrame:
     out = rows.select(*order, F.lit(class_name).alias("class_name"), F.lit(source).alias("source"), F.lit(query).alias("query"), *[v.alias(k) for k, v in fields.items()])
     out = out.filter(license_is_allowed(F.col("license"), rule) & (F.col("image_url") != ""))
     if limit is not None:
         out = out.orderBy(*order).limit(limit)
-    return out.select(*COLUMNS)
+    return out.select(*keep, *COLUMNS)
 
 
 _VALUE = "struct<value: string>"
@@ -137,7 +159,7 @@ _FILES = f"""struct<query: struct<pages: map<string, struct<pageid: bigint, titl
   LicenseShortName: {_VALUE}, UsageTerms: {_VALUE}, LicenseUrl: {_VALUE}, Artist: {_VALUE}, ObjectName: {_VALUE}>>>>>>>"""
 
 
-def file_details(bodies: DataFrame, class_name: str, query: str, rule: str = "core", require_landing: bool = False, limit: int | None = None) -> DataFrame:
+def file_details(bodies: DataFrame, class_name: str, query: str, rule: str = "core", require_landing: bool = False, limit: int | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """Candidates of file detail answers (page, body): raster images with an accepted license.
 
     A missing landing page is built from the title, or with require_landing drops the row.
@@ -151,13 +173,23 @@ def file_details(bodies: DataFrame, class_name: str, query: str, rule: str = "co
     meta = "i.extmetadata."
     built = F.concat(F.lit(f"{SITE}/wiki/"), quote(F.replace(_text(F.col("title")), F.lit(" "), F.lit("_")), "/"))
     return _candidates(
-        rows, class_name, "wikimedia_commons", query, rule, limit, ["page", "k"],
+        rows, class_name, "wikimedia_commons", query, rule, limit, ["page", "k"], keep,
         image_url=_filled(F.col("i.thumburl"), F.col("i.url")), landing_url=F.coalesce(F.nullif(F.col("i.descriptionurl"), F.lit("")), built),
         title=strip_html(_filled(F.col(meta + "ObjectName.value"), F.col("title"))), creator=strip_html(F.col(meta + "Artist.value")),
         license=strip_html(_filled(F.col(meta + "LicenseShortName.value"), F.col(meta + "UsageTerms.value"))), license_url=_text(F.col(meta + "LicenseUrl.value")), source_id=_text(F.col("pageid").cast("string")),
     )
 
 
+def category_files(walked: DataFrame, bodies: DataFrame, class_name: str, rule: str = "open_set", require_landing: bool = True) -> DataFrame:
+    """Candidates of the files of all categories that a walk reached, each file once, under its
+    nearest category (ties: the first by name). walked: node, depth; bodies: node, page, body,
+    the file detail answers of each category. Categories without an answer have no candidates."""
+    named = walked.join(bodies, "node").select("node", "depth", F.struct("depth", "node", "page").alias("page"), "body")
+    found = file_details(named.drop("node", "depth"), class_name, "", rule, require_landing, keep=("page",))
+    first = found.groupBy("image_url", "source_id").agg(F.min_by(F.struct(*COLUMNS, F.col("page.node").alias("__node")), "page").alias("c"))
+    return first.select(*[F.col("c.__node").alias(c) if c == "query" else F.col(f"c.{c}") for c in COLUMNS])
+
+
 def first_empty_page(bodies: DataFrame, items: Column) -> DataFrame:
     """Pages before the first one without items: a crawl stops there."""
     counted = bodies.withColumn("__n", F.coalesce(F.size(items), F.lit(0)))

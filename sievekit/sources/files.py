@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pathlib import Path
 from urllib.parse import urljoin
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import html
+from ..functions.images import orientation
 from ..operators.filters import at_least
 from ..schema import seeded_order
 from .api import COLUMNS
@@ -32,6 +34,22 @@ def image_files(spark: SparkSession, root: str, pattern: str = "*.{jpg,jpeg,JPG,
     return files.select("path", F.col("length").alias("n_bytes"), *(["content"] if content else []))
 
 
+def decoded_images(spark: SparkSession, root: str, pattern: str = "*.{jpg,jpeg,png,JPG,JPEG,PNG}") -> DataFrame:
+    """(path, image, orientation) of image files below root; files that cannot be decoded have
+    a height below 0. Pixels are as stored: images.turned applies the orientation."""
+    images = spark.read.format("image").option("dropInvalid", False).option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(root)
+    heads = image_files(spark, root, pattern, content=True).select("path", F.col("content"))
+
+    @F.pandas_udf("int")
+    def turn(content: pd.Series) -> pd.Series:
+        return content.map(orientation)
+
+    # the two sources write local paths with one slash and with three
+    same = F.regexp_replace("path", "^file:/+", "file:/")
+    decoded = images.select(F.col("image.origin").alias("path"), "image").withColumn("path", same)
+    return decoded.join(heads.select(same.alias("path"), turn("content").alias("orientation")), "path")
+
+
 def class_files(spark: SparkSession, root: str, class_name: str, seed: int, least: int = 100, splits: tuple[str, ...] = ("train", "val", "test")) -> DataFrame:
     """(path, n_bytes, key) of {split}/{class}/*.jpg below root in a seeded order; too few
     are an error."""

@@ -1,13 +1,17 @@
 import hashlib
+import http.server
 import json
 import struct
+import threading
 import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sievekit.functions import images
+from sievekit.functions import images, jpeg
+from sievekit.operators import reports, scoring
+from sievekit.schema import conform
 from sievekit.sources import api, files, sinks
 from sievekit.streaming.batches import EarlyStop
 
@@ -133,6 +137,95 @@ def test_images(spark, tmp_path):
     assert rows["ramp"].mirror_phash == rows["mirror"].phash and len(rows["noise"].whash) == 64
 
 
+@pytest.mark.parametrize("shape", [(1, 1), (8, 8), (37, 53), (200, 260)])
+def test_jpeg_is_read_by_others(spark, tmp_path, shape):
+    y, x = np.mgrid[: shape[0], : shape[1]]
+    smooth = np.stack([128 + 100 * np.sin(x / 9), 128 + 90 * np.cos(y / 7), (x + y) % 256 * 0.5], 2).astype(np.uint8)
+    noise = np.random.default_rng(2).integers(0, 256, (*shape, 3), np.uint8)
+    for name, a in {"smooth": smooth, "noise": noise, "flat": np.full((*shape, 3), 77, np.uint8)}.items():
+        (tmp_path / f"{name}.jpg").write_bytes(jpeg.encode(a, 94))
+        row = spark.read.format("image").load(str(tmp_path / f"{name}.jpg")).first().image
+        got = images.rgb(row).astype(int)
+        assert got.shape == a.shape and np.abs(got - a).mean() < 4
+
+
+def test_code_lengths():
+    for counts in (np.r_[1, np.zeros(255, int)], 2 ** np.arange(40), np.ones(256, int)):
+        length = jpeg.code_lengths(np.pad(counts, (0, 256 - len(counts))))
+        # complete with the code of ones
+        assert max(length.values()) <= 16 and sum(2.0 ** -n for n in length.values()) <= 1 - 2.0 ** -max(length.values())
+
+
+def test_image_sink(spark, tmp_path):
+    a = np.full((100, 300, 3), 40, np.uint8)
+    a[:, :150] = 200
+    source, out = tmp_path / "in", tmp_path / "out"
+    source.mkdir()
+    png(source / "a.png", a)
+    (source / "b.png").write_bytes(b"no image")
+    # orientation 6: what is stored is to be turned a quarter to the right
+    exif = b"Exif\0\0" + b"II*\0" + struct.pack("<IHHHIHHI", 8, 1, 0x0112, 3, 1, 6, 0, 0)
+    body = jpeg.encode(a)
+    (source / "c.jpg").write_bytes(body[:2] + b"\xff\xe1" + struct.pack(">H", len(exif) + 2) + exif + body[2:])
+    found = files.decoded_images(spark, str(source)).withColumn("name", F.concat(F.lit("train/x/"), F.regexp_extract("path", r"(\w+)\.\w+$", 1), F.lit(".jpg")))
+    assert {(r.rule, r.subject[-5:]) for r in reports.unfit_images(found.select("path", "image")).collect()} == {("small_side", "a.png"), ("unreadable", "b.png"), ("small_side", "c.jpg")}
+    rows = {r.name[-5]: r for r in sinks.write_images(found, str(out), longest=150, least=60).collect()}
+    assert (rows["a"].width, rows["a"].height) == (180, 60) and (rows["c"].width, rows["c"].height) == (60, 180)
+    assert rows["b"].sha256 is None and sorted(p.name for p in (out / "train/x").iterdir()) == ["a.jpg", "c.jpg"]
+    for name in "ac":
+        content = (out / f"train/x/{name}.jpg").read_bytes()
+        assert rows[name].n_bytes == len(content) and rows[name].sha256 == hashlib.sha256(content).hexdigest()
+    got = images.rgb(spark.read.format("image").load(str(out / "train/x/c.jpg")).first().image)
+    assert got[20].mean() > 190 and got[160].mean() < 50
+    assert images.orientation(b"") == images.orientation(body) == 1
+
+
+@pytest.mark.parametrize("n", range(1, 9))
+def test_turned(n):
+    # the stored corner (0, 0) is seen at: top left, top right, bottom right, bottom left, ...
+    a = np.zeros((2, 3, 1), np.uint8)
+    a[0, 0] = 1
+    seen = images.turned(a, n)[:, :, 0]
+    at = {1: (0, 0), 2: (0, -1), 3: (-1, -1), 4: (-1, 0), 5: (0, 0), 6: (0, -1), 7: (-1, -1), 8: (-1, 0)}[n]
+    assert seen.shape == ((2, 3) if n < 5 else (3, 2)) and seen[at] == 1
+
+
+def test_http_fetch():
+    class Answers(http.server.BaseHTTPRequestHandler):
+        def do_GET(self):
+            ok = self.path.startswith("/ok")
+            self.send_response(200 if ok else 503)
+            self.end_headers()
+            self.wfile.write(self.path.encode() if ok else b"")
+
+        def log_message(self, *args):
+            pass
+
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Answers)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    base, waits = f"http://127.0.0.1:{server.server_port}", []
+    assert api.http_fetch({"url": f"{base}/ok", "query": {"q": "a b"}, "page": 3, "page_name": "p"}) == (200, "/ok?q=a+b&p=3")
+    assert api.http_fetch({"url": f"{base}/no", "page": 1}) == (503, "")
+    with pytest.raises(RuntimeError, match="status 503"):
+        api.fetch_with_retry(api.http_fetch, {"url": f"{base}/no", "page": 1}, api.OPEN_SET_RETRY, waits.append)
+    assert waits == [1.0, 2.0, 4.0, 8.0]
+    server.shutdown()
+
+
+def test_encoded(spark):
+    df = spark.createDataFrame([(1, "aab"), (2, None), (3, "")], "id long, text string")
+    rows = {r.id: r.embedding for r in scoring.encoded(df, "text", "sievekit.operators.scoring:LetterCounts", size=1).collect()}
+    assert rows[1][0] == pytest.approx(1) and rows[2] is None and rows[3] == [0.0] * 5
+
+
+def test_written_reports(spark, tmp_path):
+    rows = spark.createDataFrame([("a", "train", "a_001.jpg")], "class_name string, split string, output_name string")
+    sinks.write_manifest(conform(rows), str(tmp_path / "m"), b"credits")
+    assert (tmp_path / "m/manifest.csv").read_bytes().startswith(b"\xef\xbb\xbfrelative_path,class") and (tmp_path / "m/credits.csv").read_bytes() == b"credits"
+    sinks.write_failure(str(tmp_path / "m"), "score", ValueError("x"))
+    assert json.loads((tmp_path / "m/build_error.json").read_text())["stage"] == "score" and "ValueError: x" in (tmp_path / "m/build_error.txt").read_text()
+
+
 def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([("a", "train", 2), ("b", "test", 1)], "class_name string, split string, n int")
     assert sinks.csv_bytes(df).startswith(b"\xef\xbb\xbfclass_name,split,n")
