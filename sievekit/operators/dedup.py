@@ -16,9 +16,14 @@ from pyspark.sql import functions as F
 from ..functions import vectors
 from ..runtime import numbered, shared_dir, ship, stored
 from ..schema import stable_key, url_key
+from .lookups import lookup_side
 
 #: Rows of a block of vectors.
 BLOCK = 2048
+#: Vectors that blocks are ordered by.
+PIVOTS = 16
+#: Rows of a band that one task compares with the others.
+TILE = 4096
 #: Hex digits of the blocks of a 64-digit hash: more blocks than bits may differ.
 BANDS = [6] * 9 + [5] * 2
 
@@ -79,45 +84,93 @@ def first_kept(nodes: DataFrame, links: DataFrame) -> DataFrame:
 def similar_pairs(rows: DataFrame, threshold: float) -> DataFrame:
     """(lo, hi, similarity) of the pairs whose cosine is at least threshold, lo < hi.
 
-    rows: pos and v (array<double>), already normalised, of one length. Rows are packed in
-    blocks, blocks meet in pairs, and a pair's product is one matrix product.
+    rows: pos and v (array<double>), already normalised, of one length; a null v has no pair.
+    See Blocks for which rows are compared.
     """
-    spark = rows.sparkSession
-    ship(spark)
-    work = shared_dir(spark)
-    n_blocks = max(1, -(-rows.count() // BLOCK))
-    schema = pa.schema([("block", pa.int32()), ("pos", pa.binary()), ("v", pa.binary())])
-
-    def pack(batches):
-        pos, v = [], []
-        for b in batches:
-            pos.append(b.column(0).to_numpy(zero_copy_only=False))
-            v.append(b.column(1).flatten().to_numpy(zero_copy_only=False))
-        if pos:
-            where = np.concatenate(pos)
-            from pyspark import TaskContext
+    return Blocks(rows).pairs(threshold)
+
 
-            yield pa.RecordBatch.from_pylist([{"block": TaskContext.get().partitionId(), "pos": where.tobytes(), "v": np.concatenate(v).tobytes()}], schema)
+class Blocks:
+    """Vectors packed in blocks of neighbours, for products of whole blocks.
 
-    blocks = stored(rows.select(F.col("pos").cast("long").alias("pos"), "v").repartition(n_blocks).mapInArrow(pack, "block int, pos binary, v binary"), f"{work}/blocks")
-    left = blocks.select(F.col("block").alias("a"), F.col("pos").alias("pa"), F.col("v").alias("va"), F.explode(F.sequence(F.col("block"), F.lit(n_blocks - 1))).alias("b"))
-    right = blocks.select(F.col("block").alias("b"), F.col("pos").alias("pb"), F.col("v").alias("vb"))
+    A few rows are pivots. Rows are dealt in ranges of (nearest pivot, angle to it), and a
+    block knows the least and the largest angle of its rows to each pivot. Angles between
+    unit vectors obey the triangle inequality, so two blocks whose angles to some pivot lie
+    further apart than the angle of the threshold hold no pair: they are not compared.
+    Clustered vectors and high thresholds leave few pairs of blocks; at low thresholds, or
+    where all rows are about as far from all pivots, all of them are compared.
+    """
 
-    def meet(batches):
-        for batch in batches:
-            for same, p1, v1, p2, v2 in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
-                p, q = np.frombuffer(p1, np.int64), np.frombuffer(p2, np.int64)
-                x, y = np.frombuffer(v1).reshape(len(p), -1), np.frombuffer(v2).reshape(len(q), -1)
-                for lo in range(0, len(p), 512):
-                    sims = x[lo : lo + 512] @ y.T
-                    i, j = np.nonzero(sims >= threshold)
-                    s, i, j = sims[i, j], p[lo + i], q[j]
-                    ok = i < j if same else i != j
-                    i, j, s = i[ok], j[ok], s[ok]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(i, j)), pa.array(np.maximum(i, j)), pa.array(s)], ["lo", "hi", "similarity"])
+    def __init__(self, rows: DataFrame, pivots: int = PIVOTS):
+        spark = rows.sparkSession
+        ship(spark)
+        self.work = shared_dir(spark)
+        rows = rows.select(F.col("pos").cast("long").alias("pos"), "v").filter("v is not null")
+        self.n = n_blocks = max(1, -(-rows.count() // BLOCK))
+        chosen = np.array([r["v"] for r in rows.orderBy(F.xxhash64("pos"), "pos").limit(pivots).collect()], np.float64)
+
+        def angles(batches):
+            for b in batches:
+                if b.num_rows:
+                    at = _angles(_matrix(b.column(1), b.num_rows), chosen)
+                    near = at.argmin(1)
+                    yield pa.RecordBatch.from_arrays([*b.columns, pa.array(near.astype(np.int32)), pa.array(at[np.arange(len(at)), near])], ["pos", "v", "near", "angle"])
+
+        def pack(batches):
+            from pyspark import TaskContext
 
-    met = left.join(right, "b").select((F.col("a") == F.col("b")).alias("same"), "pa", "va", "pb", "vb")
-    return met.mapInArrow(meet, "lo long, hi long, similarity double")
+            parts = [(b.column(0).to_numpy(zero_copy_only=False), _matrix(b.column(1), b.num_rows)) for b in batches if b.num_rows]
+            if parts:
+                pos, v = np.concatenate([x for x, _ in parts]), np.concatenate([x for _, x in parts])
+                at = _angles(v, chosen)
+                yield pa.RecordBatch.from_pylist([{"block": TaskContext.get().partitionId(), "pos": pos.tobytes(), "v": v.tobytes(), "least": np.fmin.reduce(at).tolist(), "most": np.fmax.reduce(at).tolist()}], schema)
+
+        schema = pa.schema([("block", pa.int32()), ("pos", pa.binary()), ("v", pa.binary()), ("least", pa.list_(pa.float64())), ("most", pa.list_(pa.float64()))])
+        # pos among the keys: equal vectors, however many, are dealt to several blocks
+        near = rows.mapInArrow(angles, "pos long, v array<double>, near int, angle double").repartitionByRange(n_blocks, "near", "angle", "pos")
+        self.blocks = stored(near.select("pos", "v").mapInArrow(pack, "block int, pos binary, v binary, least array<double>, most array<double>"), f"{self.work}/blocks")
+
+    def meetings(self, threshold: float) -> DataFrame:
+        """(a, b) of the blocks that may hold a pair, a <= b."""
+        reach = float(np.arccos(np.clip(threshold, -1.0, 1.0))) + 1e-6
+        left = self.blocks.select(F.col("block").alias("a"), F.col("least").alias("la"), F.col("most").alias("ma"), F.explode(F.sequence(F.col("block"), F.lit(self.n - 1))).alias("b"))
+        right = self.blocks.select(F.col("block").alias("b"), F.col("least").alias("lb"), F.col("most").alias("mb"))
+        apart = F.array_max(F.concat(F.zip_with("la", "mb", lambda x, y: x - y), F.zip_with("lb", "ma", lambda x, y: x - y)))
+        return left.join(right, "b").filter(apart <= reach).select("a", "b")
+
+    def pairs(self, threshold: float, most: int | None = None, own: bool = False) -> DataFrame:
+        """(lo, hi, similarity) of the pairs of at least threshold; with ``most`` only those
+        that can be among so many largest (larger positions first on ties); with ``own`` only
+        those within a block."""
+        met = self.blocks.select(F.col("block").alias("a"), F.col("block").alias("b")) if own else self.meetings(threshold)
+        left, right = (self.blocks.select(F.col("block").alias(x), F.col("pos").alias(f"p{x}"), F.col("v").alias(f"v{x}")) for x in "ab")
+
+        def meet(batches):
+            for batch in batches:
+                for same, p1, v1, p2, v2 in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+                    p, q = np.frombuffer(p1, np.int64), np.frombuffer(p2, np.int64)
+                    x, y = np.frombuffer(v1).reshape(len(p), -1), np.frombuffer(v2).reshape(len(q), -1)
+                    for lo in range(0, len(p), 512):
+                        sims = x[lo : lo + 512] @ y.T
+                        i, j = np.nonzero(sims >= threshold)
+                        s, i, j = sims[i, j], p[lo + i], q[j]
+                        ok = i < j if same else i != j
+                        i, j, s = np.minimum(i, j)[ok], np.maximum(i, j)[ok], s[ok]
+                        if most is not None and len(s) > most:
+                            top = np.lexsort((-j, -i, -s))[:most]
+                            i, j, s = i[top], j[top], s[top]
+                        yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(j), pa.array(s)], ["lo", "hi", "similarity"])
+
+        rows = met.join(left, "a").join(right, "b").select((F.col("a") == F.col("b")).alias("same"), "pa", "va", "pb", "vb")
+        return rows.mapInArrow(meet, "lo long, hi long, similarity double")
+
+
+def _matrix(lists: pa.Array, n: int) -> np.ndarray:
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
+
+
+def _angles(v: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(v @ pivots.T, -1.0, 1.0))
 
 
 def embedding_deduplicate(rows: DataFrame, threshold: float = 0.992) -> DataFrame:
@@ -152,21 +205,29 @@ def hash_distances(left: str, right: str) -> dict[str, Column]:
     return {"p": F.least(h("phash", "phash"), h("mirror_phash", "phash"), h("phash", "mirror_phash")), "d": h("dhash", "dhash"), "w": h("whash", "whash")}
 
 
-def perceptual_links(rows: DataFrame) -> DataFrame:
+def perceptual_links(rows: DataFrame, tile: int = TILE) -> DataFrame:
     """(lo, hi, reason) of rows that resemble each other by their hashes.
 
     Both rules need the difference hashes within 10 bits, so of 11 bands one is equal: rows
-    meet on equal bands, and nothing is missed.
+    meet on equal bands, and nothing is missed. A pair comes out under its first equal band.
+    Of a band with more than ``tile`` rows each row meets the others tile by tile, each tile
+    under a key of its own, so that no task has a whole band.
     """
     bands, at = [], 1
     for i, width in enumerate(BANDS):
         bands.append(F.struct(F.lit(i).alias("i"), F.substring("dhash", at, width).alias("band")))
         at += width
-    keyed = rows.select("*", F.explode(F.array(*bands)).alias("__b"))
-    a, b = keyed.alias("a"), keyed.alias("b")
-    met = a.join(b, (F.col("a.__b") == F.col("b.__b")) & (F.col("a.pos") < F.col("b.pos")))
+    keyed = rows.select("*", F.array(*bands).alias("__bands")).withColumn("__b", F.explode("__bands"))
+    hot = stored(keyed.groupBy("__b").agg(F.count("*").alias("__n")).filter(F.col("__n") > tile).select("__b", F.ceil(F.col("__n") / tile).cast("int").alias("__tiles")), f"{shared_dir(rows.sparkSession)}/hot")
+    if not hot.isEmpty():
+        keyed = keyed.join(lookup_side(hot), "__b", "left")
+    tiles = F.coalesce("__tiles", F.lit(1)) if "__tiles" in keyed.columns else F.lit(1)
+    a = keyed.withColumn("__t", F.pmod(F.xxhash64("pos"), tiles)).alias("a")
+    b = keyed.withColumn("__t", F.explode(F.sequence(F.lit(0).cast("long"), (tiles - 1).cast("long")))).alias("b")
+    equal = F.filter(F.zip_with("a.__bands", "b.__bands", lambda x, y: F.when(x == y, x["i"])), lambda i: i.isNotNull())
     d = hash_distances("a", "b")
-    near = met.select(F.col("a.pos").alias("lo"), F.col("b.pos").alias("hi"), *[v.alias(k) for k, v in d.items()]).distinct()
+    met = a.join(b, (F.col("a.__b") == F.col("b.__b")) & (F.col("a.__t") == F.col("b.__t")) & (F.col("a.pos") < F.col("b.pos")) & (d["d"] <= 10) & (F.col("a.__b.i") == F.array_min(equal)))
+    near = met.select(F.col("a.pos").alias("lo"), F.col("b.pos").alias("hi"), *[v.alias(k) for k, v in d.items()])
     reason = F.when((F.col("p") <= 6) & (F.col("d") <= 10), "perceptual_hash").when((F.col("p") <= 9) & (F.col("d") <= 8) & (F.col("w") <= 10), "perceptual_hash_combined")
     return near.select("lo", "hi", reason.alias("reason")).filter("reason is not null")
 

@@ -88,11 +88,16 @@ def _in_rounds(rows: DataFrame, k: int, by: str, id_col: str) -> DataFrame:
 def nearest_pairs(unit: DataFrame, k: int = 20, floor: float = 0.0) -> DataFrame:
     """The k most similar pairs (lo, hi, similarity), larger positions first on ties.
 
-    floor bounds what is compared row by row after the block products.
+    Pairs below floor do not count. Each product of blocks keeps its k best. The k best pairs
+    within blocks come first: the least of them bounds which other blocks are compared.
     """
-    from .dedup import similar_pairs
+    from .dedup import Blocks
 
-    return similar_pairs(unit, floor).orderBy(F.desc("similarity"), F.desc("lo"), F.desc("hi")).limit(k)
+    blocks, order = Blocks(unit), [F.desc("similarity"), F.desc("lo"), F.desc("hi")]
+    first = blocks.pairs(floor, k, own=True).orderBy(*order).limit(k).collect()
+    if len(first) == k:
+        floor = max(floor, first[-1]["similarity"] - 1e-9)
+    return blocks.pairs(floor, k).orderBy(*order).limit(k)
 
 
 def top_per_group(df: DataFrame, by: list[str], order: list[Column], k: int, rank: str = "rank") -> DataFrame:

@@ -80,6 +80,39 @@ def test_hash_dedup_of_many_copies(spark):
     assert got[3] == (False, "exact_sha256", 0) and got[4] == (False, "perceptual_hash", 0) and got[450] == (False, "perceptual_hash", 0)
 
 
+@pytest.mark.parametrize("threshold", [-0.5, 0.0, 0.7, 0.95])
+def test_similar_pairs_are_all_pairs(spark, monkeypatch, threshold):
+    monkeypatch.setattr(dedup, "BLOCK", 16)
+    rng = np.random.default_rng(4)
+    v = np.repeat(rng.normal(size=(12, 8)), 15, 0) + 0.2 * rng.normal(size=(180, 8))
+    v[:40] = v[0]  # equal vectors
+    v[50] = 0
+    v = v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)] + [(999, None)], "pos long, v array<double>")
+    blocks = dedup.Blocks(df)
+    got = {(r.lo, r.hi) for r in blocks.pairs(threshold).collect()}
+    sims = v @ v.T
+    # cosines that are the threshold but for rounding may fall on either side
+    sure, ever = ({(int(i), int(j)) for i, j in zip(*np.nonzero(sims >= threshold + e), strict=True) if i < j} for e in (1e-9, -1e-9))
+    assert sure <= got <= ever and len(got) == blocks.pairs(threshold).count()
+    assert threshold < 0.95 or blocks.meetings(threshold).count() < blocks.n * (blocks.n + 1) // 2
+    best = sorted(((round(float(sims[i, j]), 9), i, j) for i, j in ever if i >= 40 or j >= 40), reverse=True)[:7]
+    later = df.filter("pos >= 39 and v is not null")
+    expected = [x for x in sorted(((round(float(sims[i, j]), 9), int(i), int(j)) for i in range(39, 180) for j in range(i + 1, 180)), reverse=True)][:7]
+    assert [(round(r.similarity, 9), r.lo, r.hi) for r in selection.nearest_pairs(later, 7).collect()] == expected and best
+
+
+def test_hot_bands_meet_tile_by_tile(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(120):
+        d = int.from_bytes(rng.bytes(2), "big") & 0x1F1F
+        rows.append((i, *[f"{(d << 4 * s):064x}" for s in (0, 3, 5, 9)]))
+    df = spark.createDataFrame(rows, "pos long, dhash string, phash string, whash string, mirror_phash string")
+    one, many = (sorted(dedup.perceptual_links(df, t).collect()) for t in (4096, 7))
+    assert one == many and len({r[:2] for r in one}) == len(one) > 100
+
+
 def test_farthest_first():
     unit = np.array([[1, 0], [1, 0], [0, 1], [0.8, 0.6]], float)
     chosen = selection.farthest_first(unit, np.array([0.9, 0.9, 0.1, 0.5]), 4)
