@@ -36,6 +36,8 @@ from . import common
 
 #: Most members of one key that one task compares.
 TILE = 4096
+#: Rows under keys that a task holds, on average at most.
+KEY_ROWS = 2_000_000
 #: Shingles of one group of texts that one task compares, about.
 SHINGLES = 2_000_000
 #: Characters of text per numpy round.
@@ -206,6 +208,13 @@ def partnered(key: np.ndarray, word: np.ndarray, near: int) -> np.ndarray:
     return out | np.repeat(sizes > 64, sizes)
 
 
+def dealt(df: DataFrame, rows: int, *keys) -> DataFrame:
+    """df by keys, in as many partitions as the session has, or more where those would hold more
+    than KEY_ROWS of ``rows`` on average."""
+    least = -(-rows // KEY_ROWS)
+    return df.repartition(*keys) if least <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df.repartition(least, *keys)
+
+
 def links(nodes: DataFrame, bits: int, reach: int, work: str, n_blocks: int | None = None, tile: int = TILE) -> DataFrame:
     """Verified links (a, b) between fps whose words differ in at most ``reach`` bits in all.
 
@@ -237,9 +246,11 @@ def links(nodes: DataFrame, bits: int, reach: int, work: str, n_blocks: int | No
         common.rest()
 
     # most keys have one member, or strangers; only rows with a likely partner go on
-    keyed = common.stored(keyed.repartition(F.col("c"), part).mapInArrow(shared, "fp long, c int, v long"), f"{work}/keys")
+    keyed = common.stored(dealt(keyed, count * len(keys), F.col("c"), part).mapInArrow(shared, "fp long, c int, v long"), f"{work}/keys")
     hot = common.stored(keyed.groupBy("c", "v").count().filter(F.col("count") > tile), f"{work}/hot")
-    n_hot = hot.count()
+    # a hot key's rows come once a tile
+    n_hot, again = hot.agg(F.count("*"), F.coalesce(F.sum(F.col("count") * F.ceil(F.col("count") / tile)), F.lit(0))).first()
+    n_keyed = keyed.count() + again
     if n_hot:
         tiles = hot.select("c", "v", F.ceil(F.col("count") / tile).cast("int").alias("tiles"))
         tiles = F.broadcast(tiles) if n_hot <= 50_000 else tiles
@@ -263,7 +274,7 @@ def links(nodes: DataFrame, bits: int, reach: int, work: str, n_blocks: int | No
         del found, fp, c, v, lo, hi, w, order
         common.rest()
 
-    return keyed.repartition("c", "v", "lo", "hi").mapInArrow(run, "a long, b long")
+    return dealt(keyed, n_keyed, "c", "v", "lo", "hi").mapInArrow(run, "a long, b long")
 
 
 def alike_forest(ids: np.ndarray, sizes: np.ndarray, flat: np.ndarray, tenths: int) -> list[tuple[int, int]]:

@@ -50,3 +50,20 @@ def test_bounds_hold():
         lower, upper, last = block.bounds(plus, minus, share, np.float64)
         assert (lower <= score).all() and (score <= upper).all()
     assert last and (lower == score).all()
+
+
+def test_clustered_queries_stop_before_the_lists_end(monkeypatch):
+    read, bounds = [], topk.Block.bounds
+    monkeypatch.setattr(topk.Block, "bounds", lambda self, plus, minus, share, kind: read.append((share, len(plus))) or bounds(self, plus, minus, share, kind))
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(160, 64))
+    v = np.repeat(centres / np.linalg.norm(centres, axis=1, keepdims=True), 50, 0) + 0.02 * rng.normal(size=(8000, 64))
+    v = np.floor(64 * v).astype(np.int64)
+    ids, asked = np.arange(len(v)), np.arange(0, len(v), 20)
+    best = topk.Best(len(asked), 20)
+    topk.search_block(asked, v[asked], topk.Block(ids, v), best)
+    assert read[0] == (1 / 16, len(asked)) and max(share for share, _ in read) < 1
+    for q, i in enumerate(asked):
+        score = v @ v[i]
+        score[i] = -(1 << 40)
+        assert best.id[q].tolist() == np.lexsort((ids, -score))[:20].tolist()
