@@ -87,11 +87,19 @@ def rest() -> None:
         pass
 
 
-def slices(batches: Iterator, text: str, limit: int) -> Iterator[tuple]:
+#: What empties the stores that operators keep in a worker between tasks, by operator.
+KEPT: dict[str, Callable[[], None]] = {}
+
+
+def slices(batches: Iterator, text: str, limit: int, own: str | None = None) -> Iterator[tuple]:
     """Cut Arrow batches into (batch, texts) with at most about ``limit`` characters.
 
-    One longer text makes a slice of its own. Null texts come out as None.
+    One longer text makes a slice of its own. Null texts come out as None. Workers serve one
+    operator after another: what others than ``own`` keep in this one is given up.
     """
+    for name, empty in KEPT.items():
+        if name != own:
+            empty()
     for batch in batches:
         if not batch.num_rows:
             continue

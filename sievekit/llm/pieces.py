@@ -272,27 +272,34 @@ def load(path: str) -> Pieces:
     return Pieces(path)
 
 
-def encode(docs: DataFrame, model: str, keep: list[str], out: str = "ids", text_col: str = "text") -> DataFrame:
-    """The columns ``keep`` of docs and ``out``: the ids of text_col, array<int>.
+common.KEPT["pieces"] = load.cache_clear
+
+
+def encode(docs: DataFrame, model: str, keep: list[str], out: str = "ids", text_col: str = "text", decoded: str | None = None) -> DataFrame:
+    """The columns ``keep`` of docs and ``out``: the ids of text_col, array<int>; with
+    ``decoded`` also, under that name, the text that the ids decode to, by the same workers.
 
     A null or empty text has no ids. Repeated rows each come out; an empty table stays
-    empty. A column among keep that is named out is replaced. model is a path that every
+    empty. A column among keep that is named out or decoded is replaced. model is a path that every
     executor can open.
     """
     common.ship(docs.sparkSession)
-    keep = [c for c in keep if c != out]
+    keep = [c for c in keep if c not in (out, decoded)]
+    new = [T.StructField(out, T.ArrayType(T.IntegerType()))] + ([T.StructField(decoded, T.StringType())] if decoded else [])
+    names = [*keep, *[f.name for f in new]]
     carried = docs.select(*keep)
     source = docs.select(*keep, F.col(text_col).cast("string").alias("__sievekit_text"))
 
     def run(batches):
         pieces = load(model)
-        for batch, texts in common.slices(batches, "__sievekit_text", CHARS):
+        for batch, texts in common.slices(batches, "__sievekit_text", CHARS, "pieces"):
             ids, counts = pieces.encode(texts)
             lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), pa.array(ids, pa.int32()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], lists], [*keep, out])
+            back = [pa.array(pieces.decode(ids, counts), pa.string())] if decoded else []
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], lists, *back], names)
         pieces.words.settle()
 
-    return source.mapInArrow(run, T.StructType([*carried.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))]))
+    return source.mapInArrow(run, T.StructType([*carried.schema.fields, *new]))
 
 
 def decode(encoded: DataFrame, model: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
@@ -329,6 +336,6 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids of documents and of their decoded texts. Null and empty texts have no
     id; repeated rows each come out, an empty table gives no row, other columns are ignored."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    found = decode(encode(docs, default_model(), ["doc_id"]), default_model())
+    found = encode(docs, default_model(), ["doc_id"], decoded="decoded")
     ids = F.concat_ws(",", F.col("ids").cast("array<string>"))
     return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

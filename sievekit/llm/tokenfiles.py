@@ -134,6 +134,9 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+common.KEPT["tokens"] = encoder.cache_clear
+
+
 def _checksum(data: bytes | memoryview) -> int:
     """The low 32 bits of the XXH64."""
     import xxhash
@@ -239,7 +242,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int | Non
         fs.create_dir(f"{root}/_tmp", recursive=True)
         draft = f"{root}/_tmp/{name}-{context.taskAttemptId()}"
         model, writer, out = encoder(tokenizer), None, None
-        for batch, texts in common.slices(batches, "text", CHARS):
+        for batch, texts in common.slices(batches, "text", CHARS, "tokens"):
             if writer is None:
                 out = fs.open_output_stream(draft)
                 writer = Writer(out)

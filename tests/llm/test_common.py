@@ -69,3 +69,12 @@ def test_stars(seed):
             least[x] = least[y] = min(least[x], least[y])
     root, vertex = common.stars(a, b)
     assert dict(zip(vertex.tolist(), root.tolist(), strict=True)) == {x: r for x, r in least.items() if x != r}
+
+
+def test_slices_give_up_what_others_keep(monkeypatch):
+    emptied = []
+    monkeypatch.setattr(common, "KEPT", {"a": lambda: emptied.append("a"), "b": lambda: emptied.append("b")})
+    list(common.slices([], "text", 10, "a"))
+    assert emptied == ["b"]
+    list(common.slices([], "text", 10))
+    assert emptied == ["b", "a", "b"]

@@ -52,6 +52,10 @@ def test_operator(spark):
     for r in rows:
         assert list(r.ids) == LIBRARY.encode(r.text or "") and r.decoded == LIBRARY.decode(list(r.ids))
     assert pieces.decode(pieces.encode(empty(spark), model, ["doc_id"]), model).count() == 0
+    at_once = pieces.encode(df.withColumn("back", df.text), model, ["doc_id", "text", "back"], decoded="back")
+    assert at_once.columns == ["doc_id", "text", "ids", "back"]
+    assert sorted(map(repr, map(tuple, at_once.collect()))) == sorted(map(repr, map(tuple, rows)))
+    assert pieces.encode(empty(spark), model, ["doc_id"], decoded="back").count() == 0
 
 
 def test_long_words_equal_library():
