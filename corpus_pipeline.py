@@ -44,8 +44,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, n_tokens, ids and the SHA-256 of what the ids decode to."""
-    model = pieces.default_model()
-    found = pieces.decode(pieces.encode(docs, model, ["doc_id", "source"]), model)
+    found = pieces.encode(docs, pieces.default_model(), ["doc_id", "source"], decoded="decoded")
     return found.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
