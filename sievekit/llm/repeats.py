@@ -43,9 +43,12 @@ LENGTH = 100
 GRAM = 40
 #: Bytes of text of a shard.
 SHARD_BYTES = 16_000_000
-#: Characters of text per numpy round, and bytes of contexts of one index.
+#: Characters of text per numpy round, bytes whose grams are hashed together, and bytes of
+#: contexts of one index: arrays of these two are to stay in a core's cache, and three ranks
+#: and a place of an index are to fit a key.
 CHARS = 500_000
-INDEX_BYTES = 400_000
+BLOCK = 16_000
+INDEX_BYTES = 50_000
 #: Different contexts of one gram that are indexed together, at most.
 MAX_CONTEXTS = 20_000
 #: Copies of one context that are indexed together, at most.
@@ -102,16 +105,25 @@ def anchors(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     if len(text) < LENGTH:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     span = LENGTH - GRAM
-    grams = np.maximum(rolled(_BYTE[text], GRAM), np.uint64(1))
-    least = slid(grams, span + 1, np.minimum)
+    # in blocks that stay in a core's cache; no window stands before the first or after the last
+    n = len(text) - LENGTH + 1
+    grams, around = np.empty(n + span, np.uint64), np.zeros(n + 2 * span, np.uint64)
+    least = around[span : span + n]
+    for lo in range(0, n, BLOCK):
+        hi = min(lo + BLOCK, n)
+        part = grams[lo : hi + span]
+        np.maximum(rolled(_BYTE[text[lo : hi + LENGTH - 1]], GRAM), np.uint64(1), out=part)
+        least[lo:hi] = slid(part, span + 1, np.minimum)
     # windows across a text's end are none
     over = np.zeros(len(least) + 1, np.int64)
     np.add.at(over, np.clip(ends - LENGTH + 1, 0, len(least)), 1)
     np.add.at(over, np.clip(ends, 0, len(least)), -1)
     least[np.cumsum(over[:-1]) > 0] = 0
-    none = np.zeros(span, np.uint64)
-    most = slid(np.concatenate([none, least, none]), span + 1, np.maximum)
-    places = np.flatnonzero(most == grams)
+    places = []
+    for lo in range(0, len(grams), BLOCK):
+        part = grams[lo : lo + BLOCK]
+        places.append(lo + np.flatnonzero(slid(around[lo : lo + len(part) + span], span + 1, np.maximum) == part))
+    places = np.concatenate(places)
     return places, grams[places], least
 
 
@@ -194,15 +206,13 @@ class RunLengthIndex:
     def __init__(self, text: np.ndarray, ends: np.ndarray, least: int = 1):
         n = len(text)
         starts = np.r_[0, ends[:-1]]
-        self.end = np.repeat(ends, ends - starts)
-        place = np.arange(n)
-        room = self.end - place
+        self.end, self.least = np.repeat(ends, ends - starts), least
+        room = self.end - np.arange(n)
 
         def further(x: np.ndarray, k: int) -> np.ndarray:
-            """x of the place k bytes on, 0 beyond the text's end."""
+            """x of the place k bytes on, 0 beyond the last text's end."""
             out = np.zeros(n, np.int64)
             out[: max(n - k, 0)] = x[k:]
-            out[room <= k] = 0
             return out
 
         # as many symbols in a word as fit; beyond a text's end lies the smallest symbol
@@ -215,19 +225,34 @@ class RunLengthIndex:
             self.word, size = self.word * self.base**size + further(self.word, size), 2 * size
             if bit == "1":
                 self.word, size = self.word * self.base + further(symbol, size), size + 1
-        rank, _ = _dense(self.word)
+        short = np.flatnonzero(room < self.width)
+        units = np.array([self.base**k for k in range(self.width + 1)], np.int64)
+        self.word = self.word.copy()
+        self.word[short] -= self.word[short] % units[self.width - room[short]]
+        # small indexes leave bits for the place in a key: values sort faster than places do
+        shift = n.bit_length() if (n + 1) ** 3 << n.bit_length() < 2**63 else 0
         width, longest = self.width, int((ends - starts).max(initial=0))
-        rows = np.flatnonzero(room >= least)
-        # as many ranks in a key as fit; in the last round only the rows that are asked for
-        each = 3 if (n + 1) ** 3 < 2**63 else 2
-        while width < longest and len(rank) == n and rank.max() < n - 1:
+        while self.base**width << shift >= 2**63:
+            width -= 1
+        rank = _dense(self.word // units[self.width - width], shift)
+        # as many ranks in a key as fit; in the last two rounds only the rows that are asked for
+        each = next(k for k in range(8, 0, -1) if (n + 1) ** k << shift < 2**63)
+        while (2 * each - 1) * width < longest and rank.max() < n - 1:
             key = rank
             for j in range(1, each):
-                key = key * (n + 1) + further(rank + 1, j * width)
+                key = key * (n + 1) + np.where(room > j * width, further(rank, j * width) + 1, 0)
             width *= each
-            rank, _ = _dense(key if width < longest else key[rows])
-        if len(rank) != len(rows):
-            rank = rank[rows]
+            rank = _dense(key, shift)
+        rows = np.flatnonzero(room >= least)
+        left, on, rank = room[rows], np.r_[rank + 1, 0], rank[rows]
+        done = width
+        while done < longest and len(rows):
+            for _ in range(1, each):
+                rank = rank * (n + 1) + on[np.where(left > done, rows + done, n)]
+                done += width
+            rank = _dense(rank, shift)
+            if rank.max() == len(rows) - 1:
+                break
         # equal to their ends: in the order of their places
         self.order = np.sort(rank * n + rows) % n if n else rows
         before = np.where(room[self.order - 1] == 1, 0, symbol[self.order - 1]) if n else rows
@@ -236,7 +261,8 @@ class RunLengthIndex:
         self.sample_before[:1] = -1
 
     def common_prefix(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Bytes in which the suffixes at a and b agree, word by word."""
+        """Bytes in which the suffixes at a and b agree, word by word; of fewer than ``least``
+        only so many as are whole words."""
         length = np.zeros(len(a), np.int64)
         left = np.flatnonzero(b >= 0)
         room = np.minimum(self.end[a] - a, self.end[b] - b)
@@ -247,7 +273,8 @@ class RunLengthIndex:
             p, q = self.word[x], self.word[y]
             same = p == q
             # within the first word that differs, symbol by symbol
-            rest, p, q = left[~same], p[~same], q[~same]
+            near = ~same & (length[left] + self.width >= self.least)
+            rest, p, q = left[near], p[near], q[near]
             for shift in range(self.width - 1, 0, -1):
                 unit = self.base**shift
                 length[rest[p // unit == q // unit]] += 1
@@ -278,13 +305,20 @@ class RunLengthIndex:
         return np.sort(self.order[again])
 
 
-def _dense(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(rank of each key among the different ones, from 0; an order by rank)."""
-    order = np.argsort(keys)
-    ranked = keys[order]
+def _dense(keys: np.ndarray, shift: int = 0) -> np.ndarray:
+    """Rank of each key among the different ones, from 0. With a shift, keys leave so many bits
+    free, and these hold a place."""
+    if shift:
+        both = np.sort((keys << shift) | np.arange(len(keys)))
+        order, ranked = both & ((1 << shift) - 1), both >> shift
+    else:
+        order = np.argsort(keys)
+        ranked = keys[order]
+    step = np.zeros(len(keys), np.int64)
+    np.not_equal(ranked[1:], ranked[:-1], out=step[1:], casting="unsafe")
     rank = np.empty(len(keys), np.int64)
-    rank[order] = np.cumsum(np.r_[False, ranked[1:] != ranked[:-1]]) if len(keys) else 0
-    return rank, order
+    rank[order] = np.cumsum(step)
+    return rank
 
 
 def runs_of(places: np.ndarray, owner: np.ndarray, shift: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -303,7 +337,7 @@ def indexed(text: np.ndarray, ends: np.ndarray, key: np.ndarray, start: np.ndarr
     begins = np.r_[0, ends[:-1]]
     owner = np.repeat(np.arange(len(ends)), ends - begins)
     shift = (start - begins)[owner]
-    when = (_dense(key)[0][owner] << 32) + np.arange(len(text)) + shift
+    when = (_dense(key)[owner] << 32) + np.arange(len(text)) + shift
     places = RunLengthIndex(text, ends, LENGTH).later_repeats(when)
     return runs_of(places, owner[places], shift[places])
 

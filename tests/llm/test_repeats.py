@@ -139,3 +139,40 @@ def test_anchors_are_shared():
         assert np.diff(places).max() <= repeats.LENGTH - repeats.GRAM + 1
         found.append({p - n for p in places if 60 <= p - n <= 300})
     assert found[0] == found[1]
+
+
+@pytest.mark.parametrize("over", [0, 30_000])
+def test_keys_hold_places(over, monkeypatch):
+    """An index of the size that the query builds sorts keys that hold their places; a larger one, of a single
+    gram, has no bits for them. Both orders are those of the suffixes."""
+    size = repeats.INDEX_BYTES
+    assert (size + 1) ** 3 << size.bit_length() < 2**63
+    rng = np.random.default_rng(over)
+    base, texts, total = bytes(rng.integers(40, 100, 2000).astype(np.uint8)), [], 0
+    while total + 160 <= repeats.INDEX_BYTES + over:
+        a = int(rng.integers(0, 1840))
+        texts.append(base[a : a + int(rng.integers(100, 161))])
+        total += len(texts[-1])
+    shifts, dense = [], repeats._dense
+    monkeypatch.setattr(repeats, "_dense", lambda keys, shift=0: shifts.append(shift) or dense(keys, shift))
+    text, ends = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([len(t) for t in texts])
+    index = repeats.RunLengthIndex(text, ends, 100)
+    end = np.repeat(ends, [len(t) for t in texts])
+    rows = [p for p in range(len(text)) if end[p] - p >= 100]
+    data = text.tobytes()
+    assert index.order.tolist() == sorted(rows, key=lambda p: (data[p : end[p]], p))
+    assert len(shifts) > 2 and {s > 0 for s in shifts} == {not over}
+
+
+@pytest.mark.parametrize("block", [1, 37, 100, 1000])
+def test_blocks_change_no_anchor(block, monkeypatch):
+    rng = np.random.default_rng(block)
+    ends = np.cumsum([0, 350, 99, 100, 1, 5, 700, 160])
+    text = np.r_[rng.integers(97, 123, ends[-1] - 160), np.full(160, 97)].astype(np.uint8)
+    grams = repeats.rolled(repeats._BYTE[text], repeats.GRAM)
+    starts = [s for s in range(len(text) - 99) if not any(s < e < s + 100 for e in ends)]
+    want = {p for s in starts for p in range(s, s + 61) if grams[p] == grams[s : s + 61].min()}
+    monkeypatch.setattr(repeats, "BLOCK", block)
+    place, gram, least = repeats.anchors(text, ends)
+    assert place.tolist() == sorted(want) and (gram == grams[place]).all()
+    assert least.tolist() == [int(grams[s : s + 61].min()) if s in set(starts) else 0 for s in range(len(text) - 99)]
