@@ -7,11 +7,11 @@ document with a smaller id, or earlier in the same one. Strings are judged on th
    are its anchors. Equal windows have equal anchors at equal places, so a window can only
    repeat among the occurrences of its anchor's gram. An anchor's context is what all
    windows around it can cover: LENGTH - GRAM bytes before it and LENGTH bytes from it on.
-2. Grams meet (one hash and place an anchor, packed in columns). Within a slice of texts all
-   but the first of equal contexts (by hash) are repeated whole. What is left of a gram that
-   several places have is indexed: its different contexts, once each, together; and the
+2. Grams meet (one hash and place an anchor, packed in columns). Of a gram that several
+   places have are indexed: its different contexts (by hash), once each, together; and the
    copies of a context, in groups of bounded size that each hold the first one as well. Of a
-   document's copies as many are taken as cover the windows of all.
+   document's copies as many are taken as cover the windows of all. Copies within a slice of
+   texts are indexed there, and only the first one meets those of other slices.
 3. Index. A shard's contexts, whole grams at a time, are concatenated; their Burrows-Wheeler
    transform is cut into runs, and suffix positions are sampled at the run ends. Match
    lengths of neighbouring suffixes are computed at the sampled ends alone and streamed from
@@ -52,7 +52,7 @@ INDEX_BYTES = 50_000
 #: Different contexts of one gram that are indexed together, at most.
 MAX_CONTEXTS = 20_000
 #: Copies of one context that are indexed together, at most.
-MAX_COPIES = 2000
+MAX_COPIES = 300
 #: A gram is hot from so many places on; bytes of documents that are sampled to find out;
 #: bytes of input from which that is done; hot grams, at most.
 HOT_CONTEXTS = 1_000_000
@@ -375,6 +375,38 @@ def place_by_place(text: np.ndarray, ends: np.ndarray, key: np.ndarray, start: n
     return who, begin, begin + LENGTH
 
 
+def searched(text: np.ndarray, starts: np.ndarray, size: np.ndarray, gram: np.ndarray, key: np.ndarray, place: np.ndarray, begin: np.ndarray) -> list[np.ndarray]:
+    """(key, start, end) of the stretches that the index marks. Context i of group gram[i] is
+    text[starts[i]:][:size[i]] and begins in its document at begin[i]. Whole groups are
+    indexed at a time, as many as fit an index."""
+    found = [(np.zeros(0, np.int64),) * 3]
+    order = np.lexsort((begin, key, gram))
+    # first ones whose copies were all left out stand alone
+    alone = ~continues(gram[order])
+    alone[:-1] &= alone[1:]
+    order = order[~alone]
+    gram, key, place, begin, size, starts = (c[order] for c in (gram, key, place, begin, size, starts))
+    first = np.flatnonzero(~continues(gram))
+    last = np.r_[first[1:], len(gram)]
+    ends = np.cumsum(size)
+    lo = 0
+    while lo < len(first):
+        hi = lo + 1
+        base = ends[first[lo]] - size[first[lo]]
+        big = last[lo] - first[lo] > MAX_CONTEXTS
+        while not big and hi < len(first) and ends[last[hi] - 1] - base <= INDEX_BYTES:
+            hi += 1
+        a, b = first[lo], last[hi - 1]
+        part, stops = common.gathered(text, starts[a:b], size[a:b])[0], ends[a:b] - base
+        if big:
+            who, start, end = place_by_place(part, stops, key[a:b], begin[a:b], (place - begin)[a:b])
+        else:
+            who, start, end = indexed(part, stops, key[a:b], begin[a:b])
+        found.append((key[a:b][who], start, end))
+        lo = hi
+    return [np.concatenate(x) for x in zip(*found, strict=True)]
+
+
 # --- the stages --------------------------------------------------------------------------
 
 
@@ -460,7 +492,7 @@ def hot_grams(rows: DataFrame, total: int) -> np.ndarray:
 def find_anchors(rows: DataFrame, n: int, hot: np.ndarray) -> DataFrame:
     """(shard, kind, data): anchors (gram, context, key, place, begin, end) by gram, windows
     (hash, hash, key, start) whose anchor is a hot gram, and stretches (key, start, end) that
-    repeat within their slice."""
+    repeat within their slice. A slice's copies of a context are indexed there, with its first."""
 
     def run(batches):
         for text, ends, keys in slices_of(batches):
@@ -483,10 +515,14 @@ def find_anchors(rows: DataFrame, n: int, hot: np.ndarray) -> DataFrame:
             context = context_hashes(text, begin, end, place - begin)
             columns = [gram, context, keys[doc], place - begins[doc], begin - begins[doc], end - begins[doc]]
             order = np.lexsort((columns[3], columns[2], context, gram))
-            columns = [c[order] for c in columns]
+            columns, begin = [c[order] for c in columns], begin[order]
             first, again = first_of(continues(*columns[:2]), columns[2], columns[3])
             out += [(shard, ANCHORS, blob) for shard, blob in dealt((columns[0][first] % np.uint64(n)).astype(np.int64), [c[first] for c in columns])]
-            out += [(shard, STRETCHES, blob) for shard, blob in _stretches(columns[2][again], columns[4][again], columns[5][again], n)]
+            row, name, copy = copies_of(first, again, *columns[:2])
+            stay = needed(columns[2][row], columns[3][row], copy)
+            row, name = row[stay], name[stay]
+            key, place, start, end = (c[row] for c in columns[2:])
+            out += [(shard, STRETCHES, blob) for shard, blob in _stretches(*searched(text, begin[row], end - start, name, key, place, start), n)]
             yield _rows(out)
 
     return rows.select("key", "text").mapInArrow(run, _BLOBS)
@@ -557,6 +593,17 @@ def covering(place: np.ndarray) -> np.ndarray:
     return stay
 
 
+def needed(key: np.ndarray, place: np.ndarray, copy: np.ndarray) -> np.ndarray:
+    """Which contexts are to be indexed, by key: all that are no copies, and of a document's
+    copies as many as cover the windows of all."""
+    order = np.lexsort((place, copy, key))
+    key, place, copy = (c[order] for c in (key, place, copy))
+    stay, copies = ~copy, np.flatnonzero(copy)
+    for own in np.split(copies, np.flatnonzero(np.diff(key[copies])) + 1):
+        stay[own] = covering(place[own])
+    return order[stay]
+
+
 def _stretches(key: np.ndarray, start: np.ndarray, end: np.ndarray, n: int) -> Iterator[tuple[int, bytes]]:
     stretch = merged(key, start, end)
     return dealt(document_shard(stretch[0], n), list(stretch))
@@ -595,11 +642,7 @@ def take_contexts(texts: DataFrame, undecided: DataFrame, n: int) -> DataFrame:
         gram, key, place, begin, end, copy = joined(right["data"].to_pylist(), 6)
         out = []
         if len(key):
-            order = np.lexsort((place, copy, key))
-            gram, key, place, begin, end, copy = (c[order] for c in (gram, key, place, begin, end, copy))
-            stay = ~copy
-            for own in np.split(np.flatnonzero(copy), np.flatnonzero(np.diff(key[copy])) + 1):
-                stay[own] = covering(place[own])
+            stay = needed(key, place, copy)
             gram, key, place, begin, end = (c[stay] for c in (gram, key, place, begin, end))
             pieces, rows, seen = [], [], set()
             for k, _, text in documents_in(left):
@@ -631,27 +674,6 @@ def _pressed(data: bytes) -> bytes:
 def mark(contexts: DataFrame, n: int) -> DataFrame:
     """(shard, kind, data) by document: stretches (key, start, end) that the index marks."""
 
-    def search(text, starts, size, gram, key, place, begin):
-        """Whole groups at a time, as many as fit an index."""
-        first = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]])
-        last = np.r_[first[1:], len(gram)]
-        ends = np.cumsum(size)
-        lo = 0
-        while lo < len(first):
-            hi = lo + 1
-            base = ends[first[lo]] - size[first[lo]]
-            big = last[lo] - first[lo] > MAX_CONTEXTS
-            while not big and hi < len(first) and ends[last[hi] - 1] - base <= INDEX_BYTES:
-                hi += 1
-            a, b = first[lo], last[hi - 1]
-            part, stops = common.gathered(text, starts[a:b], size[a:b])[0], ends[a:b] - base
-            if big:
-                who, start, end = place_by_place(part, stops, key[a:b], begin[a:b], (place - begin)[a:b])
-            else:
-                who, start, end = indexed(part, stops, key[a:b], begin[a:b])
-            yield key[a:b][who], start, end
-            lo = hi
-
     def run(batches):
         import zstandard
 
@@ -664,17 +686,7 @@ def mark(contexts: DataFrame, n: int) -> DataFrame:
         gram, key, place, begin, end = joined(blobs, 5)
         size = end - begin
         starts = np.cumsum(size) - size
-        order = np.lexsort((begin, key, gram))
-        # first ones whose copies were all left out stand alone
-        alone = ~continues(gram[order])
-        alone[:-1] &= alone[1:]
-        order = order[~alone]
-        if not len(order):
-            return
-        text = np.frombuffer(b"".join(texts), np.uint8)
-        gram, key, place, begin, size, starts = (c[order] for c in (gram, key, place, begin, size, starts))
-        parts = list(search(text, starts, size, gram, key, place, begin))
-        stretch = [np.concatenate(x) for x in zip(*parts, strict=True)]
+        stretch = searched(np.frombuffer(b"".join(texts), np.uint8), starts, size, gram, key, place, begin)
         for shard, blob in _stretches(*stretch, n):
             yield _rows([(shard, STRETCHES, blob)])
 

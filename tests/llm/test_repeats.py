@@ -1,7 +1,9 @@
 import hashlib
 import random
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from sievekit.llm import repeats
@@ -176,3 +178,18 @@ def test_blocks_change_no_anchor(block, monkeypatch):
     place, gram, least = repeats.anchors(text, ends)
     assert place.tolist() == sorted(want) and (gram == grams[place]).all()
     assert least.tolist() == [int(grams[s : s + 61].min()) if s in set(starts) else 0 for s in range(len(text) - 99)]
+
+
+@pytest.mark.parametrize("most", [1, 300])
+def test_copies_of_a_slice_are_indexed(most, monkeypatch):
+    """Contexts of one hash that differ: only what is equal is marked."""
+    rng = random.Random(most)
+    passage = "".join(rng.choices("abcdefgh", k=300))
+    texts = ["".join(rng.choices(letters, k=n)) + passage + "".join(rng.choices(letters, k=90)) for letters, n in (("0123", 120), ("WXYZ", 50), ("-+*/", 0))]
+    monkeypatch.setattr(repeats, "MAX_COPIES", most)
+    monkeypatch.setattr(repeats, "context_hashes", lambda text, start, *rest: np.full(len(start), 7, np.uint64))
+    rows = SimpleNamespace(select=lambda *_: SimpleNamespace(mapInArrow=lambda run, _: run))
+    batch = pa.RecordBatch.from_pydict({"key": [1, 2, 3], "text": texts})
+    found = [row for out in repeats.find_anchors(rows, 1, np.zeros(0, np.uint64))(iter([batch])) for row in out.to_pylist()]
+    key, start, end = repeats.merged(*repeats.joined([r["data"] for r in found if r["kind"] == repeats.STRETCHES], 3))
+    assert list(zip(key.tolist(), start.tolist(), end.tolist(), strict=True)) == [(2, 50, 350), (3, 0, 300)]
