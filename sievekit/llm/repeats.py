@@ -375,10 +375,10 @@ def place_by_place(text: np.ndarray, ends: np.ndarray, key: np.ndarray, start: n
     return who, begin, begin + LENGTH
 
 
-def searched(text: np.ndarray, starts: np.ndarray, size: np.ndarray, gram: np.ndarray, key: np.ndarray, place: np.ndarray, begin: np.ndarray) -> list[np.ndarray]:
+def searched(text: np.ndarray, starts: np.ndarray, size: np.ndarray, gram: np.ndarray, key: np.ndarray, place: np.ndarray, begin: np.ndarray, most_bytes: int, most_contexts: int) -> list[np.ndarray]:
     """(key, start, end) of the stretches that the index marks. Context i of group gram[i] is
     text[starts[i]:][:size[i]] and begins in its document at begin[i]. Whole groups are
-    indexed at a time, as many as fit an index."""
+    indexed at a time, as many as fit most_bytes; larger ones than most_contexts not at once."""
     found = [(np.zeros(0, np.int64),) * 3]
     order = np.lexsort((begin, key, gram))
     # first ones whose copies were all left out stand alone
@@ -393,8 +393,8 @@ def searched(text: np.ndarray, starts: np.ndarray, size: np.ndarray, gram: np.nd
     while lo < len(first):
         hi = lo + 1
         base = ends[first[lo]] - size[first[lo]]
-        big = last[lo] - first[lo] > MAX_CONTEXTS
-        while not big and hi < len(first) and ends[last[hi] - 1] - base <= INDEX_BYTES:
+        big = last[lo] - first[lo] > most_contexts
+        while not big and hi < len(first) and ends[last[hi] - 1] - base <= most_bytes:
             hi += 1
         a, b = first[lo], last[hi - 1]
         part, stops = common.gathered(text, starts[a:b], size[a:b])[0], ends[a:b] - base
@@ -459,9 +459,9 @@ ANCHORS, STRETCHES, WINDOWS = 0, 1, 2
 _BLOBS = "shard int, kind int, data binary"
 
 
-def slices_of(batches) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def slices_of(batches, chars: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(text, ends, key): slices of (key, text) rows, documents in the order of their keys."""
-    for batch, texts in common.slices(batches, "text", CHARS):
+    for batch, texts in common.slices(batches, "text", chars):
         key = batch.column(0).to_numpy()
         order = np.argsort(key, kind="stable")
         data = [texts[i].encode("utf-8", "surrogatepass") for i in order]
@@ -479,7 +479,7 @@ def hot_grams(rows: DataFrame, total: int) -> np.ndarray:
     share = min(1.0, HOT_SAMPLE / total)
 
     def run(batches):
-        for text, ends, _ in slices_of(batches):
+        for text, ends, _ in slices_of(batches, CHARS):
             gram, n = np.unique(anchors(text, ends)[1], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(n)], ["gram", "n"])
 
@@ -495,7 +495,7 @@ def find_anchors(rows: DataFrame, n: int, hot: np.ndarray) -> DataFrame:
     repeat within their slice. A slice's copies of a context are indexed there, with its first."""
 
     def run(batches):
-        for text, ends, keys in slices_of(batches):
+        for text, ends, keys in slices_of(batches, CHARS):
             place, gram, least = anchors(text, ends)
             out, begins = [], np.r_[0, ends[:-1]]
             if len(hot):
@@ -518,11 +518,12 @@ def find_anchors(rows: DataFrame, n: int, hot: np.ndarray) -> DataFrame:
             columns, begin = [c[order] for c in columns], begin[order]
             first, again = first_of(continues(*columns[:2]), columns[2], columns[3])
             out += [(shard, ANCHORS, blob) for shard, blob in dealt((columns[0][first] % np.uint64(n)).astype(np.int64), [c[first] for c in columns])]
-            row, name, copy = copies_of(first, again, *columns[:2])
+            row, name, copy = copies_of(first, again, *columns[:2], MAX_COPIES)
             stay = needed(columns[2][row], columns[3][row], copy)
             row, name = row[stay], name[stay]
             key, place, start, end = (c[row] for c in columns[2:])
-            out += [(shard, STRETCHES, blob) for shard, blob in _stretches(*searched(text, begin[row], end - start, name, key, place, start), n)]
+            stretch = searched(text, begin[row], end - start, name, key, place, start, INDEX_BYTES, MAX_CONTEXTS)
+            out += [(shard, STRETCHES, blob) for shard, blob in _stretches(*stretch, n)]
             yield _rows(out)
 
     return rows.select("key", "text").mapInArrow(run, _BLOBS)
@@ -552,7 +553,7 @@ def meet(found: DataFrame, n: int) -> DataFrame:
         first, again = first_of(continues(gram, context), key, place)
         group = np.cumsum(~continues(gram)) - 1
         undecided = np.flatnonzero(first & (np.bincount(group, first)[group] > 1)) if len(group) else np.flatnonzero(first)
-        row, name, copy = copies_of(first, again, gram, context)
+        row, name, copy = copies_of(first, again, gram, context, MAX_COPIES)
         row, name = np.r_[undecided, row], np.r_[gram[undecided], name]
         copy = np.r_[np.zeros(len(undecided), bool), copy]
         out += [(shard, ANCHORS, blob) for shard, blob in dealt(document_shard(key[row], n), [name, *(c[row] for c in (key, place, begin, end)), copy])]
@@ -562,14 +563,14 @@ def meet(found: DataFrame, n: int) -> DataFrame:
     return found.repartitionById(n, F.col("shard")).mapInArrow(run, _BLOBS)
 
 
-def copies_of(first: np.ndarray, again: np.ndarray, gram: np.ndarray, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def copies_of(first: np.ndarray, again: np.ndarray, gram: np.ndarray, context: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, group, whether it is a copy): the copies of every context in groups of at most
-    MAX_COPIES, and with each group the context's first row."""
+    ``most``, and with each group the context's first row."""
     copy = np.flatnonzero(again)
     leader = np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))[copy]
     new = np.r_[True, leader[1:] != leader[:-1]][: len(copy)]
     start = np.flatnonzero(new)
-    part = (np.arange(len(copy)) - np.repeat(start, np.diff(np.r_[start, len(copy)]))) // MAX_COPIES
+    part = (np.arange(len(copy)) - np.repeat(start, np.diff(np.r_[start, len(copy)]))) // most
     name = mixed(mixed(gram[copy].astype(np.uint64) + np.uint64(_BASE)) ^ context[copy].astype(np.uint64)) + part.astype(np.uint64)
     lead = np.flatnonzero(new | np.r_[True, part[1:] != part[:-1]][: len(copy)])
     return np.r_[copy, leader[lead]], mixed(np.r_[name, name[lead]]), np.r_[np.ones(len(copy), bool), np.zeros(len(lead), bool)]
@@ -686,7 +687,7 @@ def mark(contexts: DataFrame, n: int) -> DataFrame:
         gram, key, place, begin, end = joined(blobs, 5)
         size = end - begin
         starts = np.cumsum(size) - size
-        stretch = searched(np.frombuffer(b"".join(texts), np.uint8), starts, size, gram, key, place, begin)
+        stretch = searched(np.frombuffer(b"".join(texts), np.uint8), starts, size, gram, key, place, begin, INDEX_BYTES, MAX_CONTEXTS)
         for shard, blob in _stretches(*stretch, n):
             yield _rows([(shard, STRETCHES, blob)])
 
